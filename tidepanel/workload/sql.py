@@ -177,8 +177,8 @@ _SIMPSON = "CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
 def _upper(density: str, end: str) -> str:
     """1 - integral of ``density`` (in u) from 0 to ``end``; null when ``end`` is null."""
     return (
-        f"(SELECT greatest(0, 1 - sum({_SIMPSON} * ({density})) * (e / 6000)) FROM "
-        f"(SELECT i, e, i * e / 2000 AS u FROM (SELECT {end} AS e) x, range(2001) g(i)) y)"
+        f"(SELECT greatest(0, 1 - sum({_SIMPSON} * ({density}) * top / 6000)) FROM "
+        f"(SELECT i, top, i * top / 2000 AS u FROM (SELECT {end} AS top) x, range(2001) g(i)) y)"
     )
 
 
