@@ -59,14 +59,16 @@ def estimators(
         "Ridge Regression": LinearRegression(
             **linear, regParam=1.0 * stats.std / stats.n, elasticNetParam=0.0, solver="normal"
         ),
-        "Lasso Regression": LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0),
+        "Lasso Regression": LinearRegression(
+            **linear, regParam=1.0, elasticNetParam=1.0, maxIter=1000, tol=1e-10
+        ),
         "Decision Tree": DecisionTreeRegressor(**io, maxDepth=10, maxBins=64, seed=42),
         "Random Forest": RandomForestRegressor(
-            **io, numTrees=trees, maxDepth=forest_depth, maxBins=64, featureSubsetStrategy="all",
+            **io, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="all",
             subsamplingRate=1.0, seed=42, cacheNodeIds=True, maxMemoryInMB=1024,
         ),
         "XGBoost": GBTRegressor(
-            **io, maxIter=rounds, maxDepth=6, stepSize=0.1, maxBins=64, seed=42, cacheNodeIds=True
+            **io, maxIter=rounds, maxDepth=6, stepSize=0.1, seed=42
         ),
     }
 
@@ -158,6 +160,16 @@ def score(result: Fit, target: str, model: str, feature_set: str) -> DataFrame:
     )
 
 
+def training_cache(split: DataFrame, rows_per_task: int = 1_000) -> DataFrame:
+    """The rows cached in no more partitions than their number is worth.
+
+    Boosting runs hundreds of short jobs, so a small panel is faster in few tasks; a large
+    one keeps its partitions.
+    """
+    size = split.count()
+    return split.coalesce(max(1, math.ceil(size / rows_per_task))).persist()
+
+
 def model_grid(
     split: DataFrame,
     target: str,
@@ -171,7 +183,7 @@ def model_grid(
     The driver only loops over the grid; each fit and each scoring is a distributed job.
     The rows are cached once for all of them.
     """
-    split = split.persist()
+    split = training_cache(split)
     stats = TargetStats.of(split.where(F.col("split") == "train"), target)
     chosen = {k: v for k, v in make(target, stats).items() if models is None or k in models}
     fits: dict[tuple[str, str], Fit] = {}
