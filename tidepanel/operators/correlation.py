@@ -41,11 +41,15 @@ def pair_name(x: str, y: str) -> str:
     return f"{x} vs {y}"
 
 
-def _masked(x: str, y: str) -> tuple[Column, Column]:
-    """Both values as doubles, null unless both are present."""
-    a, b = fx.missing_if_nan(x), fx.missing_if_nan(y)
-    both = a.isNotNull() & b.isNotNull()
-    return F.when(both, a), F.when(both, b)
+def _masked(a: Column, b: Column) -> tuple[Column, Column]:
+    """Both values, null unless both are present."""
+    return F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+
+
+def _numbers(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
+    """Adds the pairs' columns as doubles named ``_column``, NaN made null."""
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    return df.select("*", *[fx.missing_if_nan(c).alias(f"_{c}") for c in names])
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -182,28 +186,34 @@ def mask_insignificant(matrix: DataFrame, n_rows: DataFrame, alpha: float = 0.05
 
 def pearson(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """r, t, p, R², the regression line and its range for every pair, in one aggregate."""
-    rows = []
-    for x, y in pairs:
-        a, b = _masked(x, y)
+    # Values are masked in a projection of their own, so that the many aggregates of a pair
+    # read two columns instead of repeating the expressions behind them.
+    masked, rows = {}, []
+    for k, (x, y) in enumerate(pairs):
+        masked[f"x{k}"], masked[f"y{k}"] = _masked(F.col(f"_{x}"), F.col(f"_{y}"))
+        a, b = F.col(f"x{k}"), F.col(f"y{k}")
         rows.append(
             F.struct(
                 F.lit(pair_name(x, y)).alias("pair"),
                 F.count(a).alias("n"),
                 safe_corr(a, b).alias("r"),
-                F.regr_slope(b, a).alias("slope"),
-                F.regr_intercept(b, a).alias("intercept"),
-                F.min(fx.missing_if_nan(x)).alias("x_min"),
-                F.max(fx.missing_if_nan(x)).alias("x_max"),
+                F.try_divide(F.covar_pop(a, b), F.var_pop(a)).alias("slope"),
+                F.avg(a).alias("mean_x"),
+                F.avg(b).alias("mean_y"),
+                F.min(f"_{x}").alias("x_min"),
+                F.max(f"_{x}").alias("x_max"),
             )
         )
-    found = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    wide = _numbers(df, pairs).select("*", *[c.alias(n) for n, c in masked.items()])
+    found = wide.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
     left = 1 - F.col("r") ** 2
     return found.withColumns(
         {
+            "intercept": F.col("mean_y") - F.col("slope") * F.col("mean_x"),
             "r_squared": F.col("r") ** 2,
             "t": F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, F.nullif(left, F.lit(0.0)))),
         }
-    )
+    ).drop("mean_x", "mean_y")
 
 
 def with_pearson_p(found: DataFrame) -> DataFrame:
@@ -234,20 +244,20 @@ def with_residual(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     lines = {r["pair"]: r for r in pearson(df, pairs).collect()}  # a row per pair
     cells = []
     for x, y in pairs:
-        a, b = _masked(x, y)
+        a, b = F.col(f"_{x}"), F.col(f"_{y}")
         line = lines[pair_name(x, y)]
         gone = line["slope"] is None
         value = F.lit(None).cast("double") if gone else b - (F.lit(line["intercept"]) + F.lit(line["slope"]) * a)
         cells.append(F.struct(F.lit(pair_name(x, y)).alias("pair"), value.alias("residual")))
-    return df.select("*", F.inline(F.array(*cells))).where(F.col("residual").isNotNull())
+    long = _numbers(df, pairs).select(*df.columns, F.inline(F.array(*cells)))
+    return long.where(F.col("residual").isNotNull())
 
 
 def partial_correlation(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
     """r of x and y given z, with t and p on n - 3 (null where z explains one fully)."""
-    out = []
-    for name, (u, v) in {"r_xy": (x, y), "r_xz": (x, z), "r_yz": (y, z)}.items():
-        out.append(safe_corr(*_masked(u, v)).alias(name))
-    base = df.agg(F.count("*").alias("n"), *out)
+    pairs = {"r_xy": (x, y), "r_xz": (x, z), "r_yz": (y, z)}
+    out = [safe_corr(*_masked(F.col(f"_{u}"), F.col(f"_{v}"))).alias(n) for n, (u, v) in pairs.items()]
+    base = _numbers(df, list(pairs.values())).agg(F.count("*").alias("n"), *out)
     rest = F.sqrt((1 - F.col("r_xz") ** 2) * (1 - F.col("r_yz") ** 2))
     r = F.try_divide(F.col("r_xy") - F.col("r_xz") * F.col("r_yz"), rest)
     t = F.col("r_partial") * F.sqrt(F.try_divide(F.col("n") - 3, 1 - F.col("r_partial") ** 2))
@@ -260,11 +270,12 @@ def partial_correlation(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
 
 def pair_cells(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """Distinct (x, y) of every pair with their count, written for reuse."""
-    rows = []
-    for x, y in pairs:
-        a, b = _masked(x, y)
-        rows.append(F.struct(F.lit(pair_name(x, y)).alias("pair"), a.alias("x"), b.alias("y")))
-    long = df.select(F.inline(F.array(*rows))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    rows = [
+        F.struct(F.lit(pair_name(x, y)).alias("pair"), F.col(f"_{x}").alias("x"), F.col(f"_{y}").alias("y"))
+        for x, y in pairs
+    ]
+    long = _numbers(df, pairs).select(F.inline(F.array(*rows)))
+    long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     return write_table(long.groupBy("pair", "x", "y").agg(F.count("*").alias("w")), "cells")
 
 

@@ -204,14 +204,16 @@ def interpolate(
         numbered = with_entity_index(df, [spec.entity], order, "_index")
         numbered = numbered.withColumn("_chunk", F.floor(F.col("_index") / chunk_rows))
         part = [spec.entity, "_chunk"]
-    w = Window.partitionBy(*part).orderBy("_index")
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # Looking ahead is looking back in falling order: Spark re-reads the rest of the
+    # partition for every row of a frame that ends at its end.
+    upto = (Window.unboundedPreceding, 0)
+    back = Window.partitionBy(*part).orderBy("_index").rowsBetween(*upto)
+    ahead = Window.partitionBy(*part).orderBy(F.desc("_index")).rowsBetween(*upto)
     points = {c: F.when(F.col(c).isNotNull(), F.struct("_index", F.col(c).alias("v"))) for c in columns}
     wide = numbered.select(
         "*",
         *[F.last(p, True).over(back).alias(f"_prev_{c}") for c, p in points.items()],
-        *[F.first(p, True).over(ahead).alias(f"_next_{c}") for c, p in points.items()],
+        *[F.last(p, True).over(ahead).alias(f"_next_{c}") for c, p in points.items()],
     )
     if not spec.hourly:
         # The nearest value may lie any number of chunks away: carry it through a table
@@ -222,13 +224,13 @@ def interpolate(
             *[F.min_by(p, F.when(F.col(c).isNotNull(), F.col("_index"))).alias(f"_f_{c}")
               for c, p in points.items()],
         )
-        by_chunk = Window.partitionBy(spec.entity).orderBy("_chunk")
-        before = by_chunk.rowsBetween(*_FIRST)
-        behind = by_chunk.rowsBetween(1, Window.unboundedFollowing)
+        by_entity = Window.partitionBy(spec.entity)
+        before = by_entity.orderBy("_chunk").rowsBetween(*_FIRST)
+        behind = by_entity.orderBy(F.desc("_chunk")).rowsBetween(*_FIRST)
         carried = edges.select(
             *part,
             *[F.last(f"_l_{c}", True).over(before).alias(f"_b_{c}") for c in columns],
-            *[F.first(f"_f_{c}", True).over(behind).alias(f"_a_{c}") for c in columns],
+            *[F.last(f"_f_{c}", True).over(behind).alias(f"_a_{c}") for c in columns],
         )
         wide = wide.join(carried, part)
         for c in columns:
