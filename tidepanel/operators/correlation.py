@@ -54,7 +54,12 @@ def _numbers(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson's r of two columns masked to common rows, null where one is constant."""
-    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+    return _bounded(F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y))))
+
+
+def _bounded(r: Column) -> Column:
+    """A coefficient that rounding carried past 1 is set to 1."""
+    return F.when(F.abs(r) > 1, F.signum(r)).otherwise(r)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -85,7 +90,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     r = F.when(
         F.col("varies_i") & F.col("varies_j"),
         F.when(F.col("i") == F.col("j"), 1.0).otherwise(
-            F.try_divide("sij", F.sqrt("si") * F.sqrt("sj"))
+            _bounded(F.try_divide("sij", F.sqrt("si") * F.sqrt("sj")))
         ),
     )
     label = F.array(*[F.lit(c) for c in names])
@@ -258,9 +263,13 @@ def partial_correlation(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
     pairs = {"r_xy": (x, y), "r_xz": (x, z), "r_yz": (y, z)}
     out = [safe_corr(*_masked(F.col(f"_{u}"), F.col(f"_{v}"))).alias(n) for n, (u, v) in pairs.items()]
     base = _numbers(df, list(pairs.values())).agg(F.count("*").alias("n"), *out)
-    rest = F.sqrt((1 - F.col("r_xz") ** 2) * (1 - F.col("r_yz") ** 2))
-    r = F.try_divide(F.col("r_xy") - F.col("r_xz") * F.col("r_yz"), rest)
-    t = F.col("r_partial") * F.sqrt(F.try_divide(F.col("n") - 3, 1 - F.col("r_partial") ** 2))
+    left_x, left_y = 1 - F.col("r_xz") ** 2, 1 - F.col("r_yz") ** 2
+    # What z leaves unexplained is only rounding below this.
+    rest = F.when(F.least(left_x, left_y) > 1e-12, F.sqrt(left_x * left_y))
+    r = _bounded(F.try_divide(F.col("r_xy") - F.col("r_xz") * F.col("r_yz"), rest))
+    t = F.col("r_partial") * F.sqrt(
+        F.try_divide(F.col("n") - 3, 1 - F.col("r_partial") ** 2)
+    )
     found = base.withColumn("r_partial", r).withColumn("t", t)
     return found.withColumn("p", tail("t_two_sided", "t", F.col("n") - 3))
 
