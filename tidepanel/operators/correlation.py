@@ -18,6 +18,7 @@ from tidepanel.functions import columns as fx
 from tidepanel.functions.tails import tail
 from tidepanel.operators.ordering import (
     BUCKET,
+    CHUNK_ROWS,
     SLOT,
     average_rank,
     range_layout,
@@ -404,7 +405,7 @@ def kendall_of(cells: DataFrame, xs: DataFrame, ys: DataFrame) -> DataFrame:
 
 def rolling_correlation(
     df: DataFrame, spec: PanelSpec, pairs: Sequence[Pair], window: int = 720,
-    across_entities: bool = False, chunk_rows: int = 200_000,
+    across_entities: bool = False, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Correlation over the last ``window`` rows; null until that many are filled.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as fx
-from tidepanel.operators.ordering import with_neighbours
+from tidepanel.operators.ordering import CHUNK_ROWS, with_neighbours
 from tidepanel.spec import LAGS, ROLLING_WINDOWS, PanelSpec
 
 
@@ -31,18 +31,43 @@ def _lag_columns(w: Window, target: str, lags: Sequence[int]) -> dict[str, Colum
     return {f"{target}_lag_{k}": F.lag(target, k).over(w) for k in lags}
 
 
-def _rolling_columns(w: Window, target: str, windows: Sequence[int]) -> dict[str, Column]:
-    out = {}
+def _rolling_stages(w: Window, target: str, windows: Sequence[int]) -> list[dict[str, Column]]:
+    """Means and deviations of the previous k rows from differences of running sums.
+
+    The cost of a row does not grow with k, as it would with a sliding frame. Values are
+    taken from the partition's first one, which keeps the squares small; a frame without
+    any change has deviation 0 exactly.
+    """
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    value = F.col(target).cast("double")
+    origin = {"__o": F.first(value, True).over(whole)}
+    shifted = {"__d": value - F.col("__o"), "__m": (~value.eqNullSafe(F.lag(value).over(w))).cast("long")}
+    running = {
+        "__n": F.count("__d").over(upto),
+        "__s": F.coalesce(F.sum("__d").over(upto), F.lit(0.0)),
+        "__ss": F.coalesce(F.sum(F.col("__d") * F.col("__d")).over(upto), F.lit(0.0)),
+        "__c": F.sum("__m").over(upto),
+    }
+    sums, out = {}, {}
     for k in windows:
-        frame = w.rowsBetween(-k, -1)
-        out[f"{target}_rolling_mean_{k}"] = F.avg(target).over(frame)
-        out[f"{target}_rolling_std_{k}"] = F.stddev_samp(target).over(frame)
-    return out
+        for name in ("n", "s", "ss"):
+            earlier = F.coalesce(F.lag(f"__{name}", k + 1).over(w), F.lit(0))
+            sums[f"__{name}{k}"] = F.lag(f"__{name}").over(w) - earlier
+        # The first row of a partition counts as a change; a frame's own first row does not.
+        sums[f"__c{k}"] = F.lag("__c").over(w) - F.coalesce(F.lag("__c", k).over(w), F.lit(1))
+        n, total, squares = F.col(f"__n{k}"), F.col(f"__s{k}"), F.col(f"__ss{k}")
+        rest = F.greatest(squares - total * total / n, F.lit(0.0))
+        out[f"{target}_rolling_mean_{k}"] = F.when(n > 0, F.col("__o") + total / n)
+        out[f"{target}_rolling_std_{k}"] = F.when(
+            n > 1, F.when(F.col(f"__c{k}") == 0, 0.0).otherwise(F.sqrt(rest / (n - 1)))
+        )
+    return [origin, shifted, running, sums, out]
 
 
 def with_lags(
     df: DataFrame, spec: PanelSpec, target: str | None = None, lags: Sequence[int] = LAGS,
-    chunk_rows: int = 200_000,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The target k rows earlier, per entity."""
     t = target or spec.target
@@ -51,11 +76,11 @@ def with_lags(
 
 def with_rolling(
     df: DataFrame, spec: PanelSpec, target: str | None = None,
-    windows: Sequence[int] = ROLLING_WINDOWS, chunk_rows: int = 200_000,
+    windows: Sequence[int] = ROLLING_WINDOWS, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Mean and sample deviation of up to k previous rows, without the current one."""
     t = target or spec.target
-    return with_neighbours(df, spec, max(windows), lambda w: [_rolling_columns(w, t, windows)], chunk_rows)
+    return with_neighbours(df, spec, max(windows), lambda w: _rolling_stages(w, t, windows), chunk_rows)
 
 
 def with_interactions(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -80,7 +105,7 @@ def features(
     t = spec.target
     wide = with_neighbours(
         df, spec, max(*lags, *windows),
-        lambda w: [_lag_columns(w, t, lags) | _rolling_columns(w, t, windows)],
+        lambda w: [_lag_columns(w, t, lags), *_rolling_stages(w, t, windows)],
     )
     wide = with_interactions(with_cyclic(wide, spec), spec)
     temperature = fx.harmonic_temperature("day_of_year", "Hour", noise_seed)

@@ -83,14 +83,13 @@ def kruskal(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
         F.count("*").alias("w")
     )
     ladder = value_ladder(cells, _NAMES, "value", weight="w")
-    rungs = ladder.select(*_NAMES, "value", "n_at", average_rank().alias("rank"))
-    size = rungs.groupBy(*_NAMES).agg(F.sum("n_at").alias("n"))
+    rungs = ladder.select(*_NAMES, "value", "n_at", average_rank().alias("rank"), F.col("total").alias("n"))
     middle = (F.col("n") + 1) / 2.0
-    total = rungs.join(size, _NAMES).groupBy(*_NAMES, "n").agg(
+    total = rungs.groupBy(*_NAMES, "n").agg(
         F.sum(F.col("n_at") * (F.col("rank") - middle) ** 2).alias("sst")
     )
     groups = (
-        cells.join(rungs, [*_NAMES, "value"])
+        cells.join(rungs.drop("n"), [*_NAMES, "value"])
         .groupBy(*_NAMES, "group")
         .agg(F.sum("w").alias("w"), (F.sum(F.col("w") * F.col("rank")) / F.sum("w")).alias("mean_rank"))
     )

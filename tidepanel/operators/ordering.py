@@ -24,6 +24,7 @@ from tidepanel.spec import PanelSpec
 
 BUCKET, SLOT = "_bucket", "_slot"
 _FIRST = (Window.unboundedPreceding, -1)
+CHUNK_ROWS = 50_000  # rows of an entity per window; far more than any halo, few enough to sort in memory
 
 
 def range_layout(df: DataFrame, keys: Sequence[str | Column], buckets: int | None = None) -> DataFrame:
@@ -61,15 +62,23 @@ def with_entity_index(
     entity: Sequence[str],
     order: Sequence[str | Column],
     name: str = "entity_index",
+    size: str | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Number the rows of every entity 0, 1, 2, … ; rows with a null entity drop."""
+    """Number the rows of every entity 0, 1, 2, … and, with ``size``, add its row count.
+
+    Rows with a null entity drop.
+    """
     laid = range_layout(df, [*entity, *order], buckets)
     runs = laid.groupBy(*entity, BUCKET).agg(
         F.count("*").alias("_n"), F.min(SLOT).alias("_first")
     )
-    before = F.sum("_n").over(Window.partitionBy(*entity).orderBy(BUCKET).rowsBetween(*_FIRST))
-    starts = runs.withColumn("_prior", F.coalesce(before, F.lit(0))).drop("_n")
+    each = Window.partitionBy(*entity)
+    before = F.sum("_n").over(each.orderBy(BUCKET).rowsBetween(*_FIRST))
+    starts = runs.select(
+        *entity, BUCKET, "_first", F.coalesce(before, F.lit(0)).alias("_prior"),
+        *([F.sum("_n").over(each).alias(size)] if size else []),
+    )
     return (
         laid.join(starts, [*entity, BUCKET])
         .withColumn(name, F.col("_prior") + F.col(SLOT) - F.col("_first"))
@@ -77,14 +86,24 @@ def with_entity_index(
     )
 
 
+def with_place(df: DataFrame, spec: PanelSpec, name: str = "place", size: str = "n") -> DataFrame:
+    """Position of a row in its entity and the entity's size, at either grain."""
+    order = [spec.ts, *spec.tie_break]
+    if not spec.hourly:
+        return with_entity_index(df, [spec.entity], order, name, size)
+    each = Window.partitionBy(spec.entity)
+    place = (F.row_number().over(each.orderBy(*order)) - 1).cast("long")
+    return df.select("*", place.alias(name), F.count("*").over(each).alias(size))
+
+
 def value_ladder(
     df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None
 ) -> DataFrame:
     """Distinct values of every key with their count and the rows below them.
 
-    Columns: keys, value, ``n_at``, ``below`` (rows with a smaller value) and ``dense``
-    (distinct smaller values). Values are counted before anything is ordered, so a value
-    that fills a third of the table is one row here.
+    Columns: keys, value, ``n_at``, ``below`` (rows with a smaller value), ``dense``
+    (distinct smaller values) and ``total`` (rows of the key). Values are counted before
+    anything is ordered, so a value that fills a third of the table is one row here.
     """
     rows = F.count("*") if weight is None else F.sum(weight)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(rows.alias("n_at"))
@@ -92,9 +111,10 @@ def value_ladder(
     blocks = laid.groupBy(*keys, BUCKET).agg(
         F.sum("n_at").alias("_n"), F.count("*").alias("_d"), F.min(SLOT).alias("_first")
     )
-    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(*_FIRST)
+    each = Window.partitionBy(*keys)
+    earlier = each.orderBy(BUCKET).rowsBetween(*_FIRST)
     starts = blocks.select(
-        *keys, BUCKET, "_first",
+        *keys, BUCKET, "_first", F.sum("_n").over(each).alias("total"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"),
         F.coalesce(F.sum("_d").over(earlier), F.lit(0)).alias("_d_before"),
     )
@@ -103,6 +123,7 @@ def value_ladder(
         *keys, value, "n_at",
         (F.col("_n_before") + F.coalesce(F.sum("n_at").over(inside), F.lit(0))).alias("below"),
         (F.col("_d_before") + F.col(SLOT) - F.col("_first")).alias("dense"),
+        "total",
     )
 
 
@@ -113,8 +134,7 @@ def average_rank() -> Column:
 
 def quantiles(ladder: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles per key, linear between the two neighbouring rows."""
-    totals = ladder.groupBy(*keys).agg(F.sum("n_at").alias("n"))
-    rung = ladder.join(totals, list(keys))
+    rung = ladder.withColumnRenamed("total", "n")
     picks = []
     for name, p in probs.items():
         place = (F.col("n") - 1) * F.lit(p)
@@ -157,8 +177,9 @@ def with_neighbours(
     spec: PanelSpec,
     halo: int,
     stages: Callable[[Window], list[dict[str, Column]]],
-    chunk_rows: int = 200_000,
+    chunk_rows: int = CHUNK_ROWS,
     table_order: Sequence[str] | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Add window columns that look back at most ``halo`` rows.
 
@@ -168,18 +189,22 @@ def with_neighbours(
     The frames stay inside an entity. An hourly panel uses one window per entity, whose
     size is bounded by the period; at event grain each entity is numbered, cut into chunks
     and the window runs per chunk. With ``table_order`` the frames run over the whole
-    table in that order, across entities, again chunk by chunk.
+    table in that order, across entities, again chunk by chunk. ``place`` names the column
+    of :func:`with_place` when the rows are numbered already.
     """
     order = [spec.ts, *spec.tie_break]
     if table_order is None and spec.hourly:
         wide, window = df, Window.partitionBy(spec.entity).orderBy(*order)
     else:
-        if table_order is None:
-            numbered, part = with_entity_index(df, [spec.entity], order, "__index"), [spec.entity]
+        index, part = place or "__index", [spec.entity] if table_order is None else []
+        if place is not None:
+            numbered = df
+        elif table_order is None:
+            numbered = with_entity_index(df, part, order, index)
         else:
-            numbered, part = with_row_index(df, table_order, "__index"), []
-        wide = with_chunks(numbered, "__index", halo, chunk_rows)
-        window = Window.partitionBy(*part, "_chunk").orderBy("__index")
+            numbered = with_row_index(df, table_order, index)
+        wide = with_chunks(numbered, index, halo, chunk_rows)
+        window = Window.partitionBy(*part, "_chunk").orderBy(index)
     for added in stages(window):
         wide = wide.select("*", *[c.alias(n) for n, c in added.items()])
     if "_copy" in wide.columns:
@@ -188,7 +213,7 @@ def with_neighbours(
 
 
 def interpolate(
-    df: DataFrame, spec: PanelSpec, columns: Sequence[str], chunk_rows: int = 200_000
+    df: DataFrame, spec: PanelSpec, columns: Sequence[str], chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Fill nulls linearly by row position inside each entity.
 
@@ -218,19 +243,25 @@ def interpolate(
     if not spec.hourly:
         # The nearest value may lie any number of chunks away: carry it through a table
         # with one row per chunk.
+        here = {c: F.when(F.col(c).isNotNull(), F.col("_index")) for c in columns}
         edges = numbered.groupBy(*part).agg(
-            *[F.max_by(p, F.when(F.col(c).isNotNull(), F.col("_index"))).alias(f"_l_{c}")
-              for c, p in points.items()],
-            *[F.min_by(p, F.when(F.col(c).isNotNull(), F.col("_index"))).alias(f"_f_{c}")
-              for c, p in points.items()],
+            *[F.max(at).alias(f"_li_{c}") for c, at in here.items()],
+            *[F.max_by(F.col(c), at).alias(f"_lv_{c}") for c, at in here.items()],
+            *[F.min(at).alias(f"_fi_{c}") for c, at in here.items()],
+            *[F.min_by(F.col(c), at).alias(f"_fv_{c}") for c, at in here.items()],
         )
+
+        def point(c: str, side: str) -> Column:
+            index, value = F.col(f"_{side}i_{c}"), F.col(f"_{side}v_{c}")
+            return F.when(index.isNotNull(), F.struct(index.alias("_index"), value.alias("v")))
+
         by_entity = Window.partitionBy(spec.entity)
         before = by_entity.orderBy("_chunk").rowsBetween(*_FIRST)
         behind = by_entity.orderBy(F.desc("_chunk")).rowsBetween(*_FIRST)
         carried = edges.select(
             *part,
-            *[F.last(f"_l_{c}", True).over(before).alias(f"_b_{c}") for c in columns],
-            *[F.last(f"_f_{c}", True).over(behind).alias(f"_a_{c}") for c in columns],
+            *[F.last(point(c, "l"), True).over(before).alias(f"_b_{c}") for c in columns],
+            *[F.last(point(c, "f"), True).over(behind).alias(f"_a_{c}") for c in columns],
         )
         wide = wide.join(carried, part)
         for c in columns:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as fx
 from tidepanel.operators.ordering import quantiles, value_ladder
+from tidepanel.session import write_table
 
 
 def mean_by(
@@ -140,10 +141,13 @@ def box_summary(df: DataFrame, group: str, measure: str) -> DataFrame:
             "_high": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
         }
     )
+    # Written, the fences have a known size: Spark broadcasts them if they are small and
+    # splits a hot group in a sort-merge join if they are not.
+    fences = write_table(fences, "fences")
     v, n = F.col(measure), F.col("n_at")
     inside = v.between(F.col("_low"), F.col("_high"))
     return (
-        ladder.join(fences, group)
+        ladder.drop("total").join(fences, group)
         .groupBy(group, "n", "q1", "median", "q3")
         .agg(
             (F.sum(v * n) / F.sum(n)).alias("mean"),
@@ -165,19 +169,20 @@ def violin_summary(df: DataFrame, group: str, measure: str, k: int = 5, points:
     middle = quantiles(ladder, [group], measure, {"median": 0.5}).drop("n")
     v, n = F.col(measure), F.col("n_at")
     # Values have been merged into counts: the moments are weighted ones.
+    # Every table by group has at most k rows, which bounds the broadcasts.
     size = ladder.groupBy(group).agg(
         F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"),
         F.min(v).alias("lo"), F.max(v).alias("hi"),
     )
     spread = (
-        ladder.join(size, group)
+        ladder.join(F.broadcast(size), group)
         .groupBy(group, "n", "mean", "lo", "hi")
         .agg(F.sum((v - F.col("mean")) ** 2 * n).alias("_ss"))
         .withColumn("h", F.sqrt(F.try_divide("_ss", F.col("n") - 1)) * F.pow("n", F.lit(-0.2)))
-        .join(middle, group)
+        .join(F.broadcast(middle), group)
     )
     step = (F.col("hi") - F.col("lo")) / F.lit(points - 1)
-    grid = ladder.join(spread, group).select(
+    grid = ladder.join(F.broadcast(spread), group).select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     ).withColumn("x", F.col("lo") + F.col("point") * step)
     kernel = F.exp(-0.5 * F.try_divide(F.col("x") - v, F.col("h")) ** 2) * n
@@ -203,7 +208,8 @@ def histogram(df: DataFrame, measure: str, bins: int = 50) -> DataFrame:
     place = F.coalesce(F.floor(F.try_divide(F.col("_v") - e["lo"], width)), F.lit(0))
     placed = rows.select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
     counted = placed.groupBy("bin").agg(F.count("*").alias("count"))
-    every = ends.select("e", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    # The ends are one scalar subquery, computed once for both uses.
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), e.alias("e"))
     step = (F.col("e.hi") - F.col("e.lo")) / bins
     return every.join(counted, "bin", "left").select(
         "bin",

@@ -123,7 +123,7 @@ def null_indicators(df: DataFrame, keys: Sequence[str], sample: int | None = Non
     flags = rows.select(*keys, *[_null(c).cast("int").alias(c) for c in values])
     long = flags.unpivot(list(keys), values, "column", "is_null")
     holding = null_counts(rows, values).where("nulls > 0").select("column")
-    return long.join(holding, "column", "left_semi")
+    return long.join(F.broadcast(holding), "column", "left_semi")  # a row per column at most
 
 
 def column_profile(df: DataFrame, approximate: float | None = None) -> DataFrame:

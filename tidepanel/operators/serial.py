@@ -10,35 +10,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.tails import shapiro_wilk, tail
-from tidepanel.operators.ordering import hash_sample_by, with_entity_index, with_neighbours
+from tidepanel.operators.ordering import CHUNK_ROWS, hash_sample_by, with_neighbours, with_place
 from tidepanel.spec import PanelSpec
 
 
 def ljung_box(
     df: DataFrame, spec: PanelSpec, value: str, lags: int = 24,
-    table_order: Sequence[str] | None = None, chunk_rows: int = 200_000,
+    table_order: Sequence[str] | None = None, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Autocorrelation and Q for lags 1..``lags`` per entity, or over the whole table in
     ``table_order``; p is added by :func:`with_ljung_box_p`."""
     keys = [] if table_order else [spec.entity]
-    rows = df.where(F.col(value).isNotNull())
-    if keys:
-        rows = rows.join(rows.groupBy(*keys).agg(F.avg(value).alias("_mean")), keys)
-    else:
-        rows = rows.withColumn("_mean", rows.agg(F.avg(value)).scalar())
-    rows = rows.withColumn("_e", F.col(value) - F.col("_mean"))
+    # Products are taken around the table's mean and moved to the entity's mean after the
+    # aggregation, so that no row has to meet its entity's mean first.
+    middle = df.agg(F.avg(value)).first()[0] or 0.0
+    rows = df.where(F.col(value).isNotNull()).withColumn("_e", F.col(value) - F.lit(middle))
 
     def stages(w: Window) -> list[dict[str, Column]]:
-        return [{f"_p{k}": F.col("_e") * F.lag("_e", k).over(w) for k in range(1, lags + 1)}]
+        return [{f"_e{k}": F.lag("_e", k).over(w) for k in range(1, lags + 1)}]
 
     wide = with_neighbours(rows, spec, lags, stages, chunk_rows, table_order)
+    e = F.col("_e")
+    cells = []
+    for k in range(1, lags + 1):
+        past = F.col(f"_e{k}")
+        pairs = F.struct(
+            F.sum(e * past).alias("ab"), F.sum(F.when(past.isNotNull(), e)).alias("a"), F.sum(past).alias("b")
+        )
+        cells.append(F.struct(F.lit(k).alias("lag"), pairs.alias("p")))
     sums = wide.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.sum(F.col("_e") ** 2).alias("_c0"),
-        *[F.coalesce(F.sum(f"_p{k}"), F.lit(0.0)).alias(str(k)) for k in range(1, lags + 1)],
+        F.count("*").alias("n"), F.avg("_e").alias("_m"), F.var_pop("_e").alias("_var"), F.array(*cells).alias("_cells")
+    )
+    m, p = F.col("_m"), F.col("p")
+    moved = p["ab"] - m * (p["a"] + p["b"]) + (F.col("n") - F.col("lag")) * m * m
+    long = sums.select(*keys, "n", "_m", "_var", F.inline("_cells")).withColumns(
+        {"_c": F.coalesce(moved, F.lit(0.0)), "_c0": F.col("_var") * F.col("n")}
     )
-    long = sums.unpivot([*keys, "n", "_c0"], [str(k) for k in range(1, lags + 1)], "lag", "_c")
     rho = long.select(
-        *keys, "n", F.col("lag").cast("int").alias("lag"), F.try_divide("_c", "_c0").alias("rho")
+        *keys, "n", "lag", F.try_divide("_c", "_c0").alias("rho")
     ).where("lag < n")
     # At most ``lags`` rows per entity stand in this window.
     upto = Window.partitionBy(*keys, "n").orderBy("lag").rowsBetween(Window.unboundedPreceding, 0)
@@ -64,7 +73,7 @@ def significant_lags(found: DataFrame, keys: Sequence[str] = (), alpha: float =
 
 def granger(
     df: DataFrame, spec: PanelSpec, effect: str, cause: str, max_lag: int = 24,
-    chunk_rows: int = 200_000,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Does ``cause`` help to predict ``effect`` beyond its own past? F per entity and lag.
 
@@ -74,13 +83,13 @@ def granger(
     """
     entity = spec.entity
     rows = df.where(F.col(effect).isNotNull() & F.col(cause).isNotNull())
-    means = rows.groupBy(entity).agg(
-        F.avg(effect).alias("_my"), F.avg(cause).alias("_mx"), F.count("*").alias("n")
-    )
-    centred = rows.join(means, entity).select(
-        entity, spec.ts, *spec.tie_break, "n",
-        (F.col(effect) - F.col("_my")).alias("y"), (F.col(cause) - F.col("_mx")).alias("x"),
+    # Any common origin is exact (the model has an intercept); the mean keeps the digits.
+    middle = rows.agg(F.avg(effect), F.avg(cause)).first()
+    shifted = rows.select(
+        entity, spec.ts, *spec.tie_break,
+        (F.col(effect) - F.lit(middle[0] or 0.0)).alias("y"), (F.col(cause) - F.lit(middle[1] or 0.0)).alias("x"),
     )
+    numbered = with_place(shifted, spec)
 
     def stages(w: Window) -> list[dict[str, Column]]:
         past = {f"__{v}{h}": F.lag(v, h).over(w) for v in "yx" for h in range(1, max_lag + 1)}
@@ -92,17 +101,12 @@ def granger(
                     products[f"{a}{b}{h}"] = F.col(a) * other
         return [past, products]
 
-    wide = with_neighbours(centred, spec, max_lag, stages, chunk_rows)
+    wide = with_neighbours(numbered, spec, max_lag, stages, chunk_rows, place="place")
     names = [f"{a}{b}{h}" for a in "yx" for b in "yx" for h in range(max_lag + 1)]
     sums = wide.groupBy(entity).agg(
-        F.count("*").alias("n"),
+        F.count("*").alias("n"), F.array(F.sum("y"), F.sum("x")).alias("totals"),
         F.array(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in names]).alias("products"),
     )
-    if spec.hourly:
-        w = Window.partitionBy(entity).orderBy(spec.ts, *spec.tie_break)
-        numbered = centred.withColumn("place", (F.row_number().over(w) - 1).cast("long"))
-    else:
-        numbered = with_entity_index(centred, [entity], [spec.ts, *spec.tie_break], "place")
     ends = (
         numbered.where((F.col("place") < max_lag) | (F.col("place") >= F.col("n") - max_lag))
         .groupBy(entity)
@@ -110,7 +114,7 @@ def granger(
     )
     kind = df.schema[entity].dataType.simpleString()
     compact = sums.join(ends, entity).select(
-        F.col(entity).alias("entity"), "n", "products",
+        F.col(entity).alias("entity"), "n", "totals", "products",
         F.col("ends.place").alias("place"), F.col("ends.y").alias("y"), F.col("ends.x").alias("x"),
     )
     solved = compact.mapInPandas(
@@ -141,14 +145,16 @@ def _solver(max_lag: int):
                 for p in range(1, max_lag + 1):
                     dof = n - 3 * p - 1
                     if dof > 0:
-                        f = _f_statistic(sums, ends, n, p, dof)
+                        f = _f_statistic(sums, np.asarray(row.totals, dtype=float), ends, n, p, dof)
                         out.append((row.entity, p, n - p, f, p, dof))
             yield pd.DataFrame(out, columns=["entity", "lag", "n", "f", "df_num", "df_den"])
 
     return solve
 
 
-def _f_statistic(sums: np.ndarray, ends: np.ndarray, n: int, p: int, dof: int) -> float:
+def _f_statistic(
+    sums: np.ndarray, totals: np.ndarray, ends: np.ndarray, n: int, p: int, dof: int
+) -> float:
     """F of lag p from full lag products, less the products outside rows p+1..n."""
     # Regressor c = (series, shift): effect first, its lags, the cause's lags, intercept.
     terms = [(0, i) for i in range(p + 1)] + [(1, i) for i in range(1, p + 1)]
@@ -157,8 +163,7 @@ def _f_statistic(sums: np.ndarray, ends: np.ndarray, n: int, p: int, dof: int) -
     size = len(terms) + 1
     gram = np.zeros((size, size))
     for r, (s, i) in enumerate(terms):
-        # The series sums to zero, so the sum over rows p..n-1 is what is missing.
-        total = -sum(head(s, a) for a in range(p - i)) - sum(tail_(s, a) for a in range(n - i, n))
+        total = totals[s] - sum(head(s, a) for a in range(p - i)) - sum(tail_(s, a) for a in range(n - i, n))
         gram[r, -1] = gram[-1, r] = total
         for c, (u, j) in enumerate(terms):
             if c < r:
