@@ -66,7 +66,7 @@ def test_lasso_optimality(split):
         assert g == pytest.approx(np.sign(b), abs=1e-4) if abs(b) > 1e-9 else abs(g) <= 1 + 1e-6
 
 
-@pytest.mark.parametrize("name, bound", [("Decision Tree", 0.6), ("Random Forest", 0.6), ("XGBoost", 0.6)])
+@pytest.mark.parametrize("name, bound", [("Decision Tree", 0.6), ("Random Forest", 0.6), ("Gradient Boosting", 0.6)])
 def test_tree_models_learn(split, name, bound):
     df, pdf = split
     stats = modelling.TargetStats.of(df.where("split = 'train'"), "y")

@@ -71,3 +71,31 @@ def test_exploration_tables(spark, sf_dir):
     maps = explore.null_maps(tables.raw_panel(spark, sf_dir), panel)
     assert maps["before_after"].where("stage = 'after'").first()["completeness"] <= 100
     assert explore.correlations(panel)["top_pairs"].count() == 15
+
+
+def test_columns_by_name_pattern(spark):
+    from tidepanel.spec import name_matches
+    df = spark.createDataFrame([(1, 2, 3, 4)], "`a (MW)` int, `TCO x (%)` int, batterie int, other int")
+    assert name_matches(df, ("(MW)", "(%)", "TCO", "TCH", "batterie")) == ["a (MW)", "TCO x (%)", "batterie"]
+
+
+def test_tables_go_to_the_named_folder(spark, tmp_path, monkeypatch):
+    from tidepanel import session
+    monkeypatch.setattr(session, "_local_folder", [])
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Fake:
+        def __init__(self, **values):
+            self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
+
+    assert session.shared_folder(Fake(spark_checkpoint_dir="hdfs://x/y/", spark_master="yarn")) == "hdfs://x/y"
+    import pytest
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Fake(spark_master="yarn"))
+    assert session.shared_folder(Fake(spark_master="local[2]")).startswith("/tmp/tidepanel-")

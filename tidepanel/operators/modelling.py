@@ -67,7 +67,7 @@ def estimators(
             **io, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="all",
             subsamplingRate=1.0, seed=42, cacheNodeIds=True, maxMemoryInMB=1024,
         ),
-        "XGBoost": GBTRegressor(
+        "Gradient Boosting": GBTRegressor(
             **io, maxIter=rounds, maxDepth=6, stepSize=0.1, seed=42
         ),
     }

@@ -12,6 +12,7 @@ from tidepanel.functions.tails import tail
 from tidepanel.operators import correlation as corr
 from tidepanel.operators import grouptests, serial
 from tidepanel.operators.profiles import histogram
+from tidepanel.session import write_table
 from tidepanel.spec import ENERGY, TESTED_GROUPS, TESTED_PAIRS, PanelSpec
 
 
@@ -72,7 +73,8 @@ def post_hoc(
 def p_values(pairs: DataFrame, groups: DataFrame, bins: int = 20) -> DataFrame:
     """Histogram of all tests' p-values."""
     p = pairs.select(F.col("pearson_p").alias("p")).unionByName(groups.select(F.col("anova_p").alias("p")))
-    return histogram(p, "p", bins)
+    # A row per test: written, so that the bins do not run the tests again.
+    return histogram(write_table(p, "p-values"), "p", bins)
 
 
 def conclusions(pairs: DataFrame, groups: DataFrame, alpha: float = 0.05) -> DataFrame:

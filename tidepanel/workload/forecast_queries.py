@@ -103,7 +103,7 @@ def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grid(spark, sf_dir, ["XGBoost"], ["Basique"])[0]
+    return _grid(spark, sf_dir, ["Gradient Boosting"], ["Basique"])[0]
 
 
 @query()
