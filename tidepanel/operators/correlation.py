@@ -337,23 +337,37 @@ def kendall(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 def kendall_of(cells: DataFrame, xs: DataFrame, ys: DataFrame) -> DataFrame:
     """Tau-b without forming pairs: O(n log n) counting over the bits of y's rank.
 
-    Rows stand in the order (x rising, y falling), so that a later row with a larger y is a
-    concordant pair and ties in x count for nothing. Two ranks differ first at one bit:
+    Rows stand in the order (x rising, y's rank falling), so that a later row with a larger
+    y is a concordant pair and ties in x count for nothing. Two ranks differ first at one bit:
     among rows that agree above it, each row with bit 1 meets the earlier rows with bit 0.
     The running count of zeros is split into the ordered layout's partitions, so no group
     of rows is ever gathered whole.
     """
-    top = ys.agg(F.max("dense_y")).first()[0]
-    levels = max(1, int(top or 0).bit_length())
-    ranked = cells.join(ys.select("pair", "y", "dense_y"), ["pair", "y"]).select("pair", "x", "dense_y", "w")
-    laid = range_layout(ranked, ["pair", "x", F.desc("dense_y")])
+    # Tau is symmetric: the side with fewer distinct values gives the bits (a row per pair).
+    tops = xs.groupBy("pair").agg(F.max("dense_x").alias("x")).join(
+        ys.groupBy("pair").agg(F.max("dense_y").alias("y")), "pair"
+    ).collect()
+    levels = {r["pair"]: max(1, int(min(r["x"], r["y"])).bit_length()) for r in tops}
+    if not levels:
+        levels = {"": 1}
+    swapped = F.col("pair").isin([r["pair"] for r in tops if r["x"] < r["y"]])
+    ranks = ys.where(~swapped).select("pair", F.col("y").alias("v"), F.col("dense_y").alias("rank")).unionByName(
+        xs.where(swapped).select("pair", F.col("x").alias("v"), F.col("dense_x").alias("rank"))
+    )
+    sided = cells.select(
+        "pair", F.when(swapped, F.col("y")).otherwise(F.col("x")).alias("key"),
+        F.when(swapped, F.col("x")).otherwise(F.col("y")).alias("v"), "w",
+    )
+    ranked = sided.join(ranks, ["pair", "v"]).select("pair", "key", "rank", "w")
+    laid = range_layout(ranked, ["pair", "key", F.desc("rank")])
+    last_level = F.create_map(*[F.lit(v) for p, n in levels.items() for v in (p, n - 1)])[F.col("pair")]
     bits = laid.select(
-        "pair", BUCKET, SLOT, "w", "dense_y",
-        F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level"),
+        "pair", BUCKET, SLOT, "w", "rank",
+        F.explode(F.sequence(F.lit(0), last_level)).alias("level"),
     ).select(
         "pair", BUCKET, SLOT, "w", "level",
-        F.expr("shiftright(dense_y, level + 1)").alias("head"),
-        F.expr("shiftright(dense_y, level) & 1").alias("bit"),
+        F.expr("shiftright(rank, level + 1)").alias("head"),
+        F.expr("shiftright(rank, level) & 1").alias("bit"),
     )
     zero = F.when(F.col("bit") == 0, F.col("w")).otherwise(0)
     one = F.when(F.col("bit") == 1, F.col("w")).otherwise(0)
