@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as fx
 from tidepanel.operators import cleaning, features, ordering, quality
-from tidepanel.plans import clean as stage
 from tidepanel.plans import forecast
 from tidepanel.session import shared_folder
 from tidepanel.sources import readers, writers
@@ -207,8 +206,9 @@ _CLEAN_TEXT = ["Region", "Datetime", "Nature", "Season", "Year", "Month", "Day",
     f"WITH {s.clean()} SELECT {', '.join(map(s.q, _CLEAN_TEXT))}, {s.rounded([*_HOUR_COLUMNS, *s.CLEAN_DERIVED])} FROM clean"
 )
 def clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole of stage A, with the granularity read from the data."""
-    return tidy(stage.clean(tb.raw_panel(spark, sf_dir)))
+    """The whole of stage A. The source is half-hourly by construction, though too sparse at
+    the smallest scale for its modal gap (query ``granularity_mode``) to show it."""
+    return tidy(tb.clean_panel(spark, sf_dir))
 
 
 # --- derived columns ------------------------------------------------------------------
