@@ -79,23 +79,24 @@ def test_columns_by_name_pattern(spark):
     assert name_matches(df, ("(MW)", "(%)", "TCO", "TCH", "batterie")) == ["a (MW)", "TCO x (%)", "batterie"]
 
 
-def test_tables_go_to_the_named_folder(spark, tmp_path, monkeypatch):
-    from tidepanel import session
-    monkeypatch.setattr(session, "_local_folder", [])
+def test_tables_go_to_the_named_folder():
+    import pytest
 
-    class Conf:
-        def __init__(self, values):
-            self.values = values
+    from tidepanel import session
 
+    class Conf(dict):
         def get(self, key, default=None):
-            return self.values.get(key, default)
+            return dict.get(self, key, default)
 
     class Fake:
-        def __init__(self, **values):
+        def __init__(self, set_by_call=None, **values):
             self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
+            self.sparkContext = type("Context", (), {"getCheckpointDir": lambda _: set_by_call})()
 
     assert session.shared_folder(Fake(spark_checkpoint_dir="hdfs://x/y/", spark_master="yarn")) == "hdfs://x/y"
-    import pytest
-    with pytest.raises(RuntimeError):
-        session.shared_folder(Fake(spark_master="yarn"))
-    assert session.shared_folder(Fake(spark_master="local[2]")).startswith("/tmp/tidepanel-")
+    assert session.shared_folder(Fake("hdfs://x/z", spark_master="yarn")) == "hdfs://x/z"
+    for master in ("yarn", "local[2]", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.shared_folder(Fake(spark_master=master))
+    assert session.is_one_machine(Fake(spark_master="local[2]"))
+    assert not session.is_one_machine(Fake(spark_master="local-cluster[2,1,1024]"))

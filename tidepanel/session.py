@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
-_local_folder: list[str] = []
+_written: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -25,22 +29,66 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    prepare(spark)
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can read: ``spark.checkpoint.dir``.
+def is_one_machine(spark: SparkSession) -> bool:
+    """True for ``local`` and ``local[...]``, not for ``local-cluster[...]``."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
 
-    Only a local session may fall back to a temporary folder of the machine.
+def prepare(spark: SparkSession) -> None:
+    """What entry points do for a session before they use the library.
+
+    A one-machine session without a checkpoint folder gets one, deleted when Python ends; on a
+    cluster the folder has to be configured. The package is sent to the workers, which needn't
+    have it on their path.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not configured_folder(spark) and is_one_machine(spark):
+        folder = tempfile.mkdtemp(prefix="tidepanel-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+    ship(spark)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidepanel-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/tidepanel-source.zip", "w") as z:
+        for top, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(f"{top}/{name}", os.path.relpath(f"{top}/{name}", os.path.dirname(package)))
+    spark.sparkContext.addPyFile(f"{folder}/tidepanel-source.zip")
+
+
+def configured_folder(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir``, or the folder set with ``SparkContext.setCheckpointDir``."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can read; there is no fallback to a folder of one machine."""
+    folder = configured_folder(spark)
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="tidepanel-"))
-    return _local_folder[0]
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted by :func:`release_tables`."""
+    if not _written:
+        atexit.register(_release_all)
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
 
 
 def write_table(df: DataFrame, name: str = "table") -> DataFrame:
@@ -50,18 +98,25 @@ def write_table(df: DataFrame, name: str = "table") -> DataFrame:
     two uses of the table see the same rows. Being Parquet it is still pruned by column.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release_tables(spark: SparkSession) -> int:
-    """Delete the tables this session wrote with :func:`write_table`."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    count = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    """Delete what this session wrote with :func:`write_table`; also done when Python ends."""
+    mine = [path for owner, path in _written if owner is spark]
+    _written[:] = [(owner, path) for owner, path in _written if owner is not spark]
+    jvm, conf, count = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for path in mine:
+        path = jvm.org.apache.hadoop.fs.Path(path)
         count += bool(path.getFileSystem(conf).delete(path, True))
     return count
+
+
+def _release_all() -> None:
+    for spark in {id(owner): owner for owner, _ in _written}.values():
+        try:
+            release_tables(spark)
+        except Exception:  # noqa: BLE001  the session has ended; its folder is the cluster's to clean
+            pass
