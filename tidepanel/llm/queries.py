@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import lines, packing
+from tidepanel.llm import lines, packing, simhash, tokenfile
 from tidepanel.llm.registry import query
-from tidepanel.llm.text import load
+from tidepanel.llm.text import NO_ID, load
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -41,6 +41,25 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+@query()
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written to shards and read back through the perfect hash index."""
+    documents = load(spark, sf_dir, "documents")
+    path = tokenfile.write_ids(documents, tokenizer_path(), end_id=2)
+    return tokenfile.read_ids(spark, path, documents.select("doc_id"), with_ids=False)
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints over 3-word shingles, linked at 2 or fewer differing bits."""
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"), shingle=3, bits=2)
+    known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return found.select(
+        known("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        known("component").alias("component_id"),
+    )
+
+
 @query()
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length, at most 2048 tokens, one per sequence."""
