@@ -44,7 +44,8 @@ def dedup_lines(documents: DataFrame, min_chars: int = 10, min_docs: int = 2) ->
     lines = write_table(line_keys(documents, min_chars), "lines")
     holders = lines.groupBy("k1", "k2", "_id").agg(F.lit(1).alias("one"))
     shared = holders.groupBy("k1", "k2").agg(F.min("_id").alias("first"), F.count("*").alias("holders"))
-    shared = shared.where(F.col("holders") >= min_docs).drop("holders")
+    # Written, so that both sides of the join are dealt anew and a hot line can be split.
+    shared = write_table(shared.where(F.col("holders") >= min_docs).drop("holders"), "shared")
     drops = lines.join(shared, ["k1", "k2"]).where(F.col("_id") != F.col("first"))
     drops = drops.groupBy("_id", "_row").agg(F.collect_set("pos").alias("_drop"))
 
