@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import lines, packing, simhash, tokenfile
+from tidepanel.llm import language, lines, packing, simhash, tokenfile, toxicity
 from tidepanel.llm.registry import query
-from tidepanel.llm.text import NO_ID, load
+from tidepanel.llm.text import NO_ID, fold, load
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -41,6 +41,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney ratios learned outside fold 0, scored over all documents."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, load(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written to shards and read back through the perfect hash index."""
@@ -64,3 +73,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length, at most 2048 tokens, one per sequence."""
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path(), end_id=1, largest=2048, with_ids=False)
+
+
+def language_model(documents: DataFrame) -> language.Model:
+    return language.fit(documents.where(fold("doc_id", 4) != 2))
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages learned outside fold 2, predicted for all documents."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labelled = language.identify(documents.select("doc_id", "text"), language_model(documents), with_spans=False)
+    return labelled.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
