@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import language, lines, packing, simhash, tokenfile, toxicity
+from tidepanel.llm import decontaminate, language, lines, packing, simhash, tokenfile, toxicity
 from tidepanel.llm.registry import query
 from tidepanel.llm.text import NO_ID, fold, load
 
@@ -85,3 +85,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labelled = language.identify(documents.select("doc_id", "text"), language_model(documents), with_spans=False)
     return labelled.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items of which a document holds 80 % of the 5-word shingles."""
+    return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
