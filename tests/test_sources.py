@@ -29,22 +29,29 @@ def test_panel_csv_and_parquet(spark, sf_dir, tmp_path):
     back = readers.read_panel(spark, f"{tmp_path}/csv", "csv")
     assert back.exceptAll(ordered).count() == 0 and back.count() == ordered.count()
     writers.write_panel(ordered, f"{tmp_path}/pq")
-    again = readers.read_panel(spark, f"{tmp_path}/pq").where("Region = 'view'")
-    assert again.count() == ordered.where("Region = 'view'").count()
-    plan = again._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(Region" in plan
+    again = readers.read_panel(spark, f"{tmp_path}/pq")
+    assert again.columns == ordered.columns and again.dtypes == ordered.dtypes
+    plan = again.where("Region = 'view'")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(Region), EqualTo(Region,view)]" in plan
+
+
+def test_entities_that_look_like_numbers_stay_text(spark, tmp_path):
+    rows = spark.sql("SELECT * FROM VALUES ('01', TIMESTAMP_NTZ'2024-01-01 00:00:00', 1.5D), ('7', TIMESTAMP_NTZ'2024-01-01 01:00:00', 2.5D) AS t(Region, Datetime, Consommation_MW)")
+    writers.write_panel(rows, f"{tmp_path}/p")
+    back = readers.read_panel(spark, f"{tmp_path}/p")
+    assert back.dtypes == rows.dtypes and {r["Region"] for r in back.collect()} == {"01", "7"}
 
 
 def test_reports(spark, sf_dir, tmp_path):
     raw = tables.raw_panel(spark, sf_dir)
     text = writers.null_report(raw)
-    assert "Taux de complétude" in text and f"  - Column 30: {raw.count():,} NA" in text
+    assert "null cells" in text and f"Column 30: {raw.count():,}" in text
     writers.write_text(raw, text, f"{tmp_path}/report")
     assert open(glob.glob(f"{tmp_path}/report/part-*")[0], encoding="utf-8").read() == text
     panel = stage.clean(raw)
     summary = writers.exploration_report(explore.exploration_report(panel))
-    assert "Régions: 5" in summary and "Variables analysées: 9" in summary
-    assert "Aucune" in writers.null_report(panel.select("Region"))
+    assert "9 variables of 5 entities" in summary
+    assert "no column" in writers.null_report(panel.select("Region"))
 
 
 def test_pipeline_is_stored_under_its_name(spark, tmp_path):

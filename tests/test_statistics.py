@@ -52,12 +52,6 @@ def test_tails_of_extreme_arguments():
     assert tails.t_two_sided(2.0, 1e9) == pytest.approx(tails.t_two_sided(2.0, 9e7), rel=1e-6)
 
 
-def test_shapiro_published_example():
-    w, p = tails.shapiro_wilk(np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236.0]))
-    assert (w, p) == (pytest.approx(0.7888, abs=1e-4), pytest.approx(0.0067, abs=1e-4))
-    assert all(math.isnan(v) for v in tails.shapiro_wilk(np.ones(10)))
-
-
 def test_effect_size_and_f_agree_with_the_published_pair():
     eta, n, k = 0.736175, 1060704, 12
     assert eta / (1 - eta) * (n - k) / (k - 1) == pytest.approx(269068.35, rel=1e-4)
@@ -139,7 +133,7 @@ def test_kruskal_with_ties_and_a_single_group(data):
 
 def test_battery_tables(data):
     df, _ = data
-    pairs = testing.pair_tests(df, [("a", "b"), ("a", "c")], ["id"])
+    pairs = testing.pair_tests(df, [("a", "b"), ("a", "c")])
     groups = testing.group_tests(df, [("a", "g"), ("c", "g")])
     assert pairs.count() == 2 and groups.count() == 2
     row = pairs.where("pair = 'a vs b'").first()
@@ -151,12 +145,91 @@ def test_battery_tables(data):
     assert ("a", "g") in post and post["a", "g"].count() == 3
 
 
-def test_shapiro_by_group_respects_the_limit(data):
+def test_normality_of_all_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [("normal", float(v)) for v in rng.normal(1e6, 2, 9000)] + [("skewed", float(v)) for v in rng.exponential(3, 9000)]
+    rows += [("constant", 4.0)] * 30 + [("few", float(v)) for v in range(9)]
+    found = serial.normality(spark.createDataFrame(rows, "g string, v double"), "v", ["g"]).toPandas().set_index("g")
+    assert found.loc["normal", "normal"] and not found.loc["skewed", "normal"] and found["n"].sum() == 18039
+    assert found.loc["normal", "k2_p"] == pytest.approx(math.exp(-found.loc["normal", "k2"] / 2))
+    assert math.isnan(found.loc["few", "k2"]) and found.loc["few", "normal"]
+
+
+LEVELS = [0.0, 1e6, -1e7]
+
+
+def _levels(spark, n=400):
+    rng = np.random.default_rng(9)
+    rows = []
+    for k, level in enumerate(LEVELS):
+        walk = rng.normal(size=n)
+        for i in range(1, n):
+            walk[i] += 0.4 * walk[i - 1]
+        rows += [(f"e{k}", i, float(level + walk[i]), float(rng.normal() + 0.5 * walk[i - 1] - level)) for i in range(n)]
+    pdf = pd.DataFrame(rows, columns=["e", "t", "y", "x"])
+    return spark.createDataFrame(pdf), pdf
+
+
+def _spec():
+    from tidepanel.spec import PanelSpec
+
+    return PanelSpec(entity="e", ts="t", target="y", measures=("y", "x"), tie_break=())
+
+
+@pytest.mark.parametrize("chunk", [50, 170, 50_000])
+def test_rolling_statistics_hold_at_any_level(spark, chunk):
+    from tidepanel.operators import features
+
+    df, pdf = _levels(spark)
+    pdf.loc[(pdf.e == "e1") & (pdf.t == 0), "y"] = 0.0
+    pdf.loc[(pdf.e == "e2") & (pdf.t == 60), "y"] = np.nan
+    pdf.loc[(pdf.e == "e2") & (pdf.t == 90), "y"] = np.inf
+    df = spark.createDataFrame(pdf)
+    got = features.with_rolling(df, _spec(), windows=(6, 24), chunk_rows=chunk).toPandas().sort_values(["e", "t"])
+    for k in (6, 24):
+        for e, own in pdf.groupby("e"):
+            past = own["y"].replace([np.inf, -np.inf], np.nan).shift(1).reset_index(drop=True)
+            frames = [past.iloc[max(0, i - k + 1) : i + 1].dropna() for i in range(len(past))]
+            mine = got[got.e == e]
+            np.testing.assert_allclose(mine[f"y_rolling_mean_{k}"], [f.mean() if len(f) else np.nan for f in frames], rtol=1e-12)
+            np.testing.assert_allclose(mine[f"y_rolling_std_{k}"], [f.std() if len(f) > 1 else np.nan for f in frames], rtol=1e-6, atol=1e-12)
+    corr = correlation.rolling_correlation(df, _spec(), [("y", "x")], window=30, chunk_rows=chunk).toPandas().sort_values(["e", "t"])
+    own = pdf[pdf.e == "e0"].reset_index(drop=True)
+    want = [np.nan if i < 29 else np.corrcoef(own["y"][i - 29 : i + 1], own["x"][i - 29 : i + 1])[0, 1] for i in range(len(own))]
+    np.testing.assert_allclose(corr[corr.e == "e0"]["corr_y__x"].astype(float), want, rtol=1e-9)
+
+
+def test_serial_tests_hold_at_any_level(spark):
+    df, pdf = _levels(spark)
+    box = serial.ljung_box(df, _spec(), "y", lags=4).toPandas().set_index(["e", "lag"])["rho"]
+    found = serial.granger(df, _spec(), "y", "x", 3).toPandas().set_index(["e", "lag"])["f"]
+    for e, own in pdf.groupby("e"):
+        d = (own["y"] - own["y"].mean()).to_numpy()
+        for k in range(1, 5):
+            assert box[e, k] == pytest.approx((d[k:] * d[:-k]).sum() / (d * d).sum(), rel=1e-6)
+        y, x, n = own["y"].to_numpy() - own["y"].mean(), own["x"].to_numpy() - own["x"].mean(), len(own)
+        for p in (1, 2, 3):
+            past = [s[p - i : n - i] for s in (y, x) for i in range(1, p + 1)]
+            both, alone = (np.column_stack([*c, np.ones(n - p)]) for c in (past, past[:p]))
+            rss = [((y[p:] - m @ np.linalg.lstsq(m, y[p:], rcond=None)[0]) ** 2).sum() for m in (alone, both)]
+            assert found[e, p] == pytest.approx((rss[0] - rss[1]) / p / (rss[1] / (n - 3 * p - 1)), rel=1e-6)
+
+
+def test_noise_does_not_change_with_the_partitions(spark):
+    from tidepanel.functions import columns as fx
+
+    df = spark.range(5000)
+    noise = [df.repartition(n).select("id", fx.hash_normal(["id"], 7).alias("z")).orderBy("id").toPandas() for n in (2, 7)]
+    assert noise[0].equals(noise[1])
+    assert abs(noise[0]["z"].mean()) < 0.05 and abs(noise[0]["z"].std() - 1) < 0.05
+
+
+def test_tukey_over_blocks_gives_all_pairs(data):
     df, _ = data
-    found = serial.shapiro(df, "a", ["g"], ["id"], sample=50).toPandas()
-    assert sorted(found["g"]) == ["a", "b", "c"] and found["n"].max() == 50
-    with pytest.raises(ValueError):
-        serial.shapiro(df, "a", ["g"], ["id"], sample=6000)
+    wide = df.withColumn("many", F.concat(F.col("g"), (F.col("id") % 7).cast("string")))
+    one = grouptests.tukey(wide, "a", "many").toPandas().sort_values(["group1", "group2"])
+    cut = grouptests.tukey(wide, "a", "many", block_groups=4).toPandas().sort_values(["group1", "group2"])
+    assert len(one) == 21 * 20 // 2 and one["q"].tolist() == cut["q"].tolist()
 
 
 def test_category_matrix(data):

@@ -134,14 +134,26 @@ def cyclic(x: Column | str, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
+def hash_normal(keys: Sequence[Column | str], seed: int) -> Column:
+    """A standard normal number from a row's key: the same whatever the partitioning.
+
+    Two uniform numbers from the key's MD5 become a normal one by Box and Muller.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[col(k).cast("string") for k in keys]))
+    first, second = (
+        (F.conv(F.substring(digest, at, 8), 16, 10).cast("double") + 0.5) / float(1 << 32) for at in (1, 9)
+    )
+    return F.sqrt(-2 * F.log(first)) * F.cos(2 * math.pi * second)
+
+
 def harmonic_temperature(
-    day_of_year: Column | str, hour: Column | str, noise_seed: int | None = None
+    day_of_year: Column | str, hour: Column | str, noise_seed: int | None = None, keys: Sequence[Column | str] = ()
 ) -> Column:
-    """Yearly and daily temperature wave, with normal noise (sd 3) when a seed is given."""
+    """Yearly and daily temperature wave, with normal noise (sd 3) by ``keys`` when a seed is given."""
     year_wave = F.sin(col(day_of_year) * (2 * math.pi) / 365 - math.pi / 2)
     day_wave = F.sin(col(hour) * (2 * math.pi) / 24 - math.pi / 3)
     value = F.lit(15.0) + 10 * year_wave + 5 * day_wave
-    return value if noise_seed is None else value + 3 * F.randn(noise_seed)
+    return value if noise_seed is None else value + 3 * hash_normal(keys, noise_seed)
 
 
 # --- text -----------------------------------------------------------------------------

@@ -160,18 +160,21 @@ def strongest_pairs(pairs: DataFrame, top: int | None = None, above: float | Non
 
 
 def category_matrix(matrix: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Mean |r| between categories of variables: 1 on the diagonal, 0 where none is present."""
+    """Mean |r| between categories of variables: 1 on the diagonal, 0 where none is present.
+
+    Null if any pair of the two categories has no correlation (a constant variable).
+    """
     of = F.create_map(*[F.lit(x) for cat, vs in categories.items() for v in vs for x in (v, cat)])
     means = (
         matrix.select(of[F.col("var1")].alias("cat1"), of[F.col("var2")].alias("cat2"), "corr")
         .where(F.col("cat1").isNotNull() & F.col("cat2").isNotNull())
-        .groupBy("cat1", "cat2").agg(F.avg(F.abs("corr")).alias("m"))
+        .groupBy("cat1", "cat2").agg(F.avg(F.abs("corr")).alias("m"), (F.count("corr") < F.count("*")).alias("gap"))
     )
     names = F.array(*[F.lit(c) for c in categories])
     grid = matrix.sparkSession.range(1).select(F.explode(names).alias("cat1")).select(
         "cat1", F.explode(names).alias("cat2")
     )
-    value = F.when(F.col("cat1") == F.col("cat2"), 1.0).otherwise(F.coalesce("m", F.lit(0.0)))
+    value = F.when(F.col("cat1") == F.col("cat2"), 1.0).when(~F.coalesce("gap", F.lit(False)), F.coalesce("m", F.lit(0.0)))
     return grid.join(means, ["cat1", "cat2"], "left").select("cat1", "cat2", value.alias("mean_abs_corr"))
 
 
@@ -247,16 +250,15 @@ def regression_line(found: DataFrame, points: int = 100) -> DataFrame:
 
 def with_residual(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """Residuals ``y - (intercept + slope x)`` of every pair: ``pair, residual`` rows."""
-    lines = {r["pair"]: r for r in pearson(df, pairs).collect()}  # a row per pair
-    cells = []
-    for x, y in pairs:
-        a, b = F.col(f"_{x}"), F.col(f"_{y}")
-        line = lines[pair_name(x, y)]
-        gone = line["slope"] is None
-        value = F.lit(None).cast("double") if gone else b - (F.lit(line["intercept"]) + F.lit(line["slope"]) * a)
-        cells.append(F.struct(F.lit(pair_name(x, y)).alias("pair"), value.alias("residual")))
+    cells = [
+        F.struct(F.lit(pair_name(x, y)).alias("pair"), F.col(f"_{x}").alias("_a"), F.col(f"_{y}").alias("_b"))
+        for x, y in pairs
+    ]
     long = _numbers(df, pairs).select(*df.columns, F.inline(F.array(*cells)))
-    return long.where(F.col("residual").isNotNull())
+    lines = F.broadcast(pearson(df, pairs).select("pair", "intercept", "slope"))  # a row per pair
+    value = F.col("_b") - (F.col("intercept") + F.col("slope") * F.col("_a"))
+    found = long.join(lines, "pair").select(*df.columns, "pair", value.alias("residual"))
+    return found.where(F.col("residual").isNotNull())
 
 
 def partial_correlation(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
@@ -424,49 +426,22 @@ def rolling_correlation(
     """Correlation over the last ``window`` rows; null until that many are filled.
 
     Frames stay inside an entity, or run over the whole (entity, timestamp) order with
-    ``across_entities``. Cost per row does not depend on the window: running sums of
-    centred values are differenced. A frame in which a variable never changes gives null,
-    found by counting changes, not by comparing rounded variances.
+    ``across_entities``. Each frame is summed from its own rows, so that levels elsewhere in
+    the table cost no digits. A frame in which a variable never changes gives null.
     """
     used = list(dict.fromkeys(c for p in pairs for c in p))
-    means = df.agg(*[F.avg(fx.missing_if_nan(c)).alias(c) for c in used]).first()
 
     def stages(w: Window) -> list[dict[str, Column]]:
-        value, running, result = {}, {}, {}
-        for c in used:
-            value[f"__v_{c}"] = fx.missing_if_nan(c) - F.lit(means[c])
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        cells, moved = {}, {}
-        for k, (x, y) in enumerate(pairs):
+        frame = w.rowsBetween(1 - window, 0)
+        result = {}
+        for x, y in pairs:
             a, b = F.col(f"__v_{x}"), F.col(f"__v_{y}")
             both = a.isNotNull() & b.isNotNull()
-            moved[f"__mx{k}"] = (~a.eqNullSafe(F.lag(a).over(w))).cast("long")
-            moved[f"__my{k}"] = (~b.eqNullSafe(F.lag(b).over(w))).cast("long")
-            cells |= {
-                f"n{k}": both.cast("long"), f"x{k}": F.when(both, a), f"y{k}": F.when(both, b),
-                f"xx{k}": F.when(both, a * a), f"yy{k}": F.when(both, b * b), f"xy{k}": F.when(both, a * b),
-            }
-        for name, c in cells.items():
-            running[f"__s_{name}"] = F.coalesce(F.sum(c).over(upto), F.lit(0.0))
-        for k in range(len(pairs)):
-            running[f"__c_x{k}"] = F.sum(f"__mx{k}").over(upto)
-            running[f"__c_y{k}"] = F.sum(f"__my{k}").over(upto)
-
-        def last(name: str) -> Column:
-            return F.col(f"__s_{name}") - F.coalesce(F.lag(f"__s_{name}", window).over(w), F.lit(0.0))
-
-        def changes(name: str) -> Column:
-            return F.col(f"__c_{name}") - F.lag(f"__c_{name}", window - 1).over(w)
-
-        for k, (x, y) in enumerate(pairs):
-            n = F.lit(float(window))
-            top = last(f"xy{k}") - last(f"x{k}") * last(f"y{k}") / n
-            rest = F.sqrt(F.greatest(last(f"xx{k}") - last(f"x{k}") ** 2 / n, F.lit(0.0))) * F.sqrt(
-                F.greatest(last(f"yy{k}") - last(f"y{k}") ** 2 / n, F.lit(0.0))
-            )
-            usable = (last(f"n{k}") == window) & (changes(f"x{k}") > 0) & (changes(f"y{k}") > 0)
-            result[f"corr_{x}__{y}"] = F.when(usable, F.try_divide(top, rest))
-        return [value, moved, running, result]
+            a, b = F.when(both, a), F.when(both, b)
+            spread = F.stddev_pop(a).over(frame) * F.stddev_pop(b).over(frame)  # 0 exactly for a constant
+            r = F.try_divide(F.covar_pop(a, b).over(frame), spread)
+            result[f"corr_{x}__{y}"] = F.when(F.count(a).over(frame) == window, r)
+        return [{f"__v_{c}": fx.missing_if_nan(c) for c in used}, result]
 
     order = [spec.entity, spec.ts, *spec.tie_break] if across_entities else None
     return with_neighbours(df, spec, window, stages, chunk_rows, table_order=order)

@@ -32,37 +32,19 @@ def _lag_columns(w: Window, target: str, lags: Sequence[int]) -> dict[str, Colum
 
 
 def _rolling_stages(w: Window, target: str, windows: Sequence[int]) -> list[dict[str, Column]]:
-    """Means and deviations of the previous k rows from differences of running sums.
+    """Means and deviations of the previous k rows, each frame summed from its own rows.
 
-    The cost of a row does not grow with k, as it would with a sliding frame. Values are
-    taken from the partition's first one, which keeps the squares small; a frame without
-    any change has deviation 0 exactly.
+    Differences of running sums would be cheaper, but one large, infinite or missing value
+    then reaches frames that it isn't in. NaN and infinite values count as missing.
     """
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
     value = F.col(target).cast("double")
-    origin = {"__o": F.first(value, True).over(whole)}
-    shifted = {"__d": value - F.col("__o"), "__m": (~value.eqNullSafe(F.lag(value).over(w))).cast("long")}
-    running = {
-        "__n": F.count("__d").over(upto),
-        "__s": F.coalesce(F.sum("__d").over(upto), F.lit(0.0)),
-        "__ss": F.coalesce(F.sum(F.col("__d") * F.col("__d")).over(upto), F.lit(0.0)),
-        "__c": F.sum("__m").over(upto),
-    }
-    sums, out = {}, {}
+    finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+    out = {}
     for k in windows:
-        for name in ("n", "s", "ss"):
-            earlier = F.coalesce(F.lag(f"__{name}", k + 1).over(w), F.lit(0))
-            sums[f"__{name}{k}"] = F.lag(f"__{name}").over(w) - earlier
-        # The first row of a partition counts as a change; a frame's own first row does not.
-        sums[f"__c{k}"] = F.lag("__c").over(w) - F.coalesce(F.lag("__c", k).over(w), F.lit(1))
-        n, total, squares = F.col(f"__n{k}"), F.col(f"__s{k}"), F.col(f"__ss{k}")
-        rest = F.greatest(squares - total * total / n, F.lit(0.0))
-        out[f"{target}_rolling_mean_{k}"] = F.when(n > 0, F.col("__o") + total / n)
-        out[f"{target}_rolling_std_{k}"] = F.when(
-            n > 1, F.when(F.col(f"__c{k}") == 0, 0.0).otherwise(F.sqrt(rest / (n - 1)))
-        )
-    return [origin, shifted, running, sums, out]
+        frame = w.rowsBetween(-k, -1)
+        out[f"{target}_rolling_mean_{k}"] = F.avg("__v").over(frame)
+        out[f"{target}_rolling_std_{k}"] = F.stddev_samp("__v").over(frame)
+    return [{"__v": finite}, out]
 
 
 def with_lags(
@@ -108,5 +90,5 @@ def features(
         lambda w: [_lag_columns(w, t, lags), *_rolling_stages(w, t, windows)],
     )
     wide = with_interactions(with_cyclic(wide, spec), spec)
-    temperature = fx.harmonic_temperature("day_of_year", "Hour", noise_seed)
+    temperature = fx.harmonic_temperature("day_of_year", "Hour", noise_seed, [spec.entity, spec.ts, *spec.tie_break])
     return wide.withColumn("Temperature_simulated", temperature).na.drop("any")

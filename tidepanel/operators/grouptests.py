@@ -15,6 +15,7 @@ from tidepanel.functions import columns as fx
 from tidepanel.functions.tails import tail
 from tidepanel.operators.ordering import average_rank, value_ladder
 from tidepanel.operators.profiles import rows_of_top
+from tidepanel.session import write_table
 
 Test = tuple[str, str]
 _NAMES = ["quantitative", "qualitative"]
@@ -79,8 +80,8 @@ def with_anova_p(found: DataFrame) -> DataFrame:
 
 def kruskal(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
     """Kruskal-Wallis H, corrected for ties, as (n - 1) times the explained share of ranks."""
-    cells = _long(df, tests).where("group is not null").groupBy(*_NAMES, "group", "value").agg(
-        F.count("*").alias("w")
+    cells = write_table(
+        _long(df, tests).where("group is not null").groupBy(*_NAMES, "group", "value").agg(F.count("*").alias("w")), "cells"
     )
     ladder = value_ladder(cells, _NAMES, "value", weight="w")
     rungs = ladder.select(*_NAMES, "value", "n_at", average_rank().alias("rank"), F.col("total").alias("n"))
@@ -109,24 +110,24 @@ def with_kruskal_p(found: DataFrame) -> DataFrame:
     return found.withColumn("kruskal_p", tail("chi2_upper", "kruskal_h", F.col("n_groups") - 1))
 
 
-def tukey(df: DataFrame, measure: str, category: str, top: int | None = None) -> DataFrame:
+def tukey(df: DataFrame, measure: str, category: str, top: int | None = None, block_groups: int = 500) -> DataFrame:
     """All pairs of group means with the studentised range q (``top``: best groups only).
 
-    Works on one array of group moments; a category with more than 1000 groups would give
-    over half a million pairs and is refused.
+    The group table is dealt into blocks of about ``block_groups`` groups; each pair of blocks
+    is joined by itself, so any number of groups spreads over the tasks.
     """
     rows = df if top is None else rows_of_top(df, category, measure, top)
-    groups = group_moments(rows, [(measure, category)]).where("group is not null")
-    listed = groups.groupBy(*_NAMES).agg(
-        F.array_sort(F.collect_list(F.struct("group", "n", "mean"))).alias("g"),
-        F.sum("n").alias("n_all"), F.sum(F.col("n") * F.col("var")).alias("within"),
+    groups = write_table(group_moments(rows, [(measure, category)]).where("group is not null"), "groups")
+    sizes = groups.groupBy(*_NAMES).agg(
+        F.count("*").cast("int").alias("k"), F.sum("n").alias("n_all"), F.sum(F.col("n") * F.col("var")).alias("within")
     )
-    count = F.size("g")
-    guarded = listed.withColumn(
-        "k", F.when(count > 1000, F.raise_error(F.lit("too many groups for Tukey pairs"))).otherwise(count)
-    ).withColumn("dof", F.col("n_all") - F.col("k"))
-    first = guarded.select("*", F.posexplode("g").alias("i", "a"))
-    pairs = first.where("i < k - 1").select("*", F.explode(F.slice("g", F.col("i") + 2, F.col("k"))).alias("b"))
+    blocks = max(1, -(-groups.count() // block_groups))
+    own = groups.withColumn("block", F.pmod(F.xxhash64("group"), F.lit(blocks)).cast("int"))
+    spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))  # each block meets every other
+    left = own.select(*_NAMES, F.col("block").alias("i"), spread.alias("j"), F.struct("group", "n", "mean").alias("a"))
+    right = own.select(*_NAMES, spread.alias("i"), F.col("block").alias("j"), F.struct("group", "n", "mean").alias("b"))
+    pairs = left.join(right, [*_NAMES, "i", "j"]).where(F.col("a.group") < F.col("b.group")).join(F.broadcast(sizes), _NAMES)
+    pairs = pairs.withColumn("dof", F.col("n_all") - F.col("k"))
     error = F.sqrt(
         F.try_divide("within", "dof") / 2 * (F.try_divide(F.lit(1.0), F.col("a.n")) + F.try_divide(F.lit(1.0), F.col("b.n")))
     )

@@ -27,6 +27,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.session import write_table
+
 EPSILON = 2.220446049250313e-16  # smallest denominator of a relative error
 METRICS = ("rmse", "mae", "r2", "mape")
 
@@ -160,16 +162,6 @@ def score(result: Fit, target: str, model: str, feature_set: str) -> DataFrame:
     )
 
 
-def training_cache(split: DataFrame, rows_per_task: int = 1_000) -> DataFrame:
-    """The rows cached in no more partitions than their number is worth.
-
-    Boosting runs hundreds of short jobs, so a small panel is faster in few tasks; a large
-    one keeps its partitions.
-    """
-    size = split.count()
-    return split.coalesce(max(1, math.ceil(size / rows_per_task))).persist()
-
-
 def model_grid(
     split: DataFrame,
     target: str,
@@ -181,9 +173,9 @@ def model_grid(
     """Every model on every feature set; the result table and the fits by (set, model).
 
     The driver only loops over the grid; each fit and each scoring is a distributed job.
-    The rows are cached once for all of them.
+    The rows are written once and read by all of them.
     """
-    split = training_cache(split)
+    split = write_table(split, "training")
     stats = TargetStats.of(split.where(F.col("split") == "train"), target)
     chosen = {k: v for k, v in make(target, stats).items() if models is None or k in models}
     fits: dict[tuple[str, str], Fit] = {}

@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.functions.tails import shapiro_wilk, tail
-from tidepanel.operators.ordering import CHUNK_ROWS, hash_sample_by, with_neighbours, with_place
+from tidepanel.functions.tails import tail
+from tidepanel.operators.ordering import CHUNK_ROWS, with_neighbours, with_place
 from tidepanel.spec import PanelSpec
 
 
@@ -21,10 +21,13 @@ def ljung_box(
     """Autocorrelation and Q for lags 1..``lags`` per entity, or over the whole table in
     ``table_order``; p is added by :func:`with_ljung_box_p`."""
     keys = [] if table_order else [spec.entity]
-    # Products are taken around the table's mean and moved to the entity's mean after the
-    # aggregation, so that no row has to meet its entity's mean first.
-    middle = df.agg(F.avg(value)).first()[0] or 0.0
-    rows = df.where(F.col(value).isNotNull()).withColumn("_e", F.col(value) - F.lit(middle))
+    rows = df.where(F.col(value).isNotNull())
+    # Products around a mean far from the entity's own would lose the digits that differ.
+    if keys:
+        rows = rows.join(rows.groupBy(*keys).agg(F.avg(value).alias("_mean")), keys)
+        rows = rows.withColumn("_e", F.col(value) - F.col("_mean")).drop("_mean")
+    else:
+        rows = rows.withColumn("_e", F.col(value) - F.lit(rows.agg(F.avg(value)).first()[0] or 0.0))
 
     def stages(w: Window) -> list[dict[str, Column]]:
         return [{f"_e{k}": F.lag("_e", k).over(w) for k in range(1, lags + 1)}]
@@ -83,11 +86,11 @@ def granger(
     """
     entity = spec.entity
     rows = df.where(F.col(effect).isNotNull() & F.col(cause).isNotNull())
-    # Any common origin is exact (the model has an intercept); the mean keeps the digits.
-    middle = rows.agg(F.avg(effect), F.avg(cause)).first()
-    shifted = rows.select(
+    # Any origin is exact (the model has an intercept); the entity's means keep the digits.
+    means = rows.groupBy(entity).agg(F.avg(effect).alias("_y"), F.avg(cause).alias("_x"))
+    shifted = rows.join(means, entity).select(
         entity, spec.ts, *spec.tie_break,
-        (F.col(effect) - F.lit(middle[0] or 0.0)).alias("y"), (F.col(cause) - F.lit(middle[1] or 0.0)).alias("x"),
+        (F.col(effect) - F.col("_y")).alias("y"), (F.col(cause) - F.col("_x")).alias("x"),
     )
     numbered = with_place(shifted, spec)
 
@@ -200,35 +203,28 @@ def jarque_bera(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFram
     return found.withColumn("jb", jb).withColumn("p", F.exp(-F.col("jb") / 2))
 
 
-def shapiro(
-    df: DataFrame, value: str, group: Sequence[str], keys: Sequence[str], sample: int = 5000, seed: int = 42
-) -> DataFrame:
-    """Shapiro-Wilk W and p per group, on at most ``sample`` drawn rows (the test's limit).
+def normality(df: DataFrame, value: str, keys: Sequence[str] = (), alpha: float = 0.05) -> DataFrame:
+    """Jarque-Bera and D'Agostino-Pearson K² of all rows per key, from one moment aggregate.
 
-    All groups run as one job; a group in Python is never larger than the sample.
+    Both statistics have p = exp(-x / 2). K² joins the normal scores of skewness and kurtosis,
+    which hold from 8 and 20 rows; it is null below 20. ``normal`` is K²'s decision at
+    ``alpha`` (Jarque-Bera's where K² is null); null for constant values.
     """
-    if sample > 5000:
-        raise ValueError("the Shapiro-Wilk approximation holds up to 5000 values")
-    rows = df.where(F.col(value).isNotNull()).select(*group, *keys, F.col(value).cast("double").alias("_v"))
-    drawn = hash_sample_by(rows, group, keys, sample, seed)
-    schema = ", ".join(f"{g} {df.schema[g].dataType.simpleString()}" for g in group)
-
-    def test(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(rows["_v"].to_numpy())
-        return pd.DataFrame([[*key, len(rows), w, p]], columns=[*group, "n", "w", "p"])
-
-    found = drawn.groupBy(*group).applyInPandas(test, f"{schema}, n long, w double, p double")
-    return found.withColumn("normal", F.col("p") > 0.05)
-
-
-def shapiro_first(df: DataFrame, value: str, order: Sequence[str], n: int = 5000) -> DataFrame:
-    """Shapiro-Wilk on the first n residuals in order, as for the best model's errors."""
-    first = df.where(F.col(value).isNotNull()).orderBy(*order).limit(n)
-
-    def test(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(rows[value].to_numpy(dtype=float))
-        return pd.DataFrame({"n": [len(rows)], "w": [w], "p": [p]})
-
-    one = first.select(value).withColumn("_all", F.lit(True)).groupBy("_all")
-    found = one.applyInPandas(test, "n long, w double, p double")
-    return found.withColumn("normal", F.col("p") > 0.05)
+    found = jarque_bera(df.where(F.col(value).isNotNull()), value, keys).withColumnRenamed("p", "jb_p")
+    n = F.col("n").cast("double")
+    y = F.col("skewness") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
+    beta2 = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
+    w2 = F.sqrt(2 * (beta2 - 1)) - 1
+    scaled = y / F.sqrt(2 / (w2 - 1))
+    skew_score = F.log(scaled + F.sqrt(scaled * scaled + 1)) / F.sqrt(F.log(w2) / 2)
+    mean = 3 * (n - 1) / (n + 1) - 3
+    spread = 24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))
+    x = (F.col("kurtosis") - mean) / F.sqrt(spread)
+    root = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6 + 8 / root * (2 / root + F.sqrt(1 + 4 / (root * root)))
+    base = (1 - 2 / a) / (1 + x * F.sqrt(2 / (a - 4)))
+    cubic = F.signum(base) * F.pow(F.abs(base), 1 / 3)
+    kurtosis_score = (1 - 2 / (9 * a) - cubic) / F.sqrt(2 / (9 * a))
+    k2 = F.when((n >= 20) & F.col("skewness").isNotNull() & ~F.isnan("skewness"), skew_score**2 + kurtosis_score**2)
+    found = found.withColumn("k2", k2).withColumn("k2_p", F.exp(-F.col("k2") / 2))
+    return found.withColumn("normal", F.coalesce("k2_p", F.nanvl("jb_p", F.lit(None).cast("double"))) > alpha)

@@ -52,7 +52,7 @@ def diagnostics(
         "by_entity": modelling.entity_errors(test, spec.entity, spec.target),
         "perfect_line": modelling.perfect_line(test, spec.target),
         "week": numbered.where(F.col("place").between(slice_from, slice_from + slice_rows - 1)),
-        "shapiro": serial.shapiro_first(errors, "error", order),
+        "normality": serial.normality(errors, "error"),
         "ljung_box": box,
         "significant_lags": serial.significant_lags(box),
     }

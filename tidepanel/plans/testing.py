@@ -17,13 +17,9 @@ from tidepanel.spec import ENERGY, TESTED_GROUPS, TESTED_PAIRS, PanelSpec
 
 
 def pair_tests(
-    df: DataFrame, pairs: Sequence[corr.Pair] = TESTED_PAIRS, keys: Sequence[str] = (ENERGY.entity, ENERGY.ts)
+    df: DataFrame, pairs: Sequence[corr.Pair] = TESTED_PAIRS
 ) -> DataFrame:
-    """Pearson, Spearman, Kendall, R² and residual normality of every pair.
-
-    Kendall runs over all rows; the residuals' Shapiro-Wilk over at most 5000 drawn rows,
-    the limit of that test. ``keys`` identify a row for the draw.
-    """
+    """Pearson, Spearman, Kendall, R² and residual normality of every pair, over all rows."""
     line = corr.with_pearson_p(corr.pearson(df, pairs))
     cells = corr.pair_cells(df, pairs)
     xs, ys = corr.pair_ladders(cells)
@@ -31,7 +27,7 @@ def pair_tests(
         "pair", "rho", tail("t_two_sided", "t", F.col("n") - 2).alias("spearman_p")
     )
     tau = corr.kendall_of(cells, xs, ys).select("pair", "tau", tail("normal_two_sided", "z").alias("kendall_p"))
-    normal = serial.shapiro(corr.with_residual(df, pairs), "residual", ["pair"], list(keys))
+    normal = serial.normality(corr.with_residual(df, pairs), "residual", ["pair"])
     found = (
         line.join(rho, "pair").join(tau, "pair")
         .join(normal.select("pair", F.col("normal").alias("residuals_normal")), "pair", "left")
@@ -58,14 +54,14 @@ def group_tests(df: DataFrame, tests: Sequence[grouptests.Test] = TESTED_GROUPS)
 
 def post_hoc(
     df: DataFrame, found: DataFrame, spec: PanelSpec = ENERGY,
-    categories: Sequence[str] = ("Region", "Season", "DayOfWeek"), alpha: float = 0.05,
+    categories: Sequence[str] = ("Region", "Season", "DayOfWeek"), alpha: float = 0.05, top_entities: int | None = None,
 ) -> dict[tuple[str, str], DataFrame]:
-    """Tukey pairs for the significant tests on listed categories (5 best entities)."""
+    """Tukey pairs for the significant tests on listed categories; ``top_entities``: of the best ones only."""
     out = {}
     for row in found.where(F.col("anova_p") < alpha).collect():  # a row per test
         m, c = row["quantitative"], row["qualitative"]
         if c in categories:
-            top = 5 if c == spec.entity else None
+            top = top_entities if c == spec.entity else None
             out[m, c] = grouptests.with_tukey_p(grouptests.tukey(df, m, c, top), alpha)
     return out
 

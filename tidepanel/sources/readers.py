@@ -50,7 +50,11 @@ def clean_schema(spec: PanelSpec = ENERGY) -> StructType:
 
 
 def read_panel(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
-    """A cleaned panel as Parquet (the hand-off between stages) or CSV."""
+    """A cleaned panel as Parquet (the hand-off between stages) or CSV.
+
+    Parquet files bring their own types; ``schema`` picks and types columns by name. CSV needs a
+    schema (default: the cleaned panel's), whose names must be the header's, in its order.
+    """
     if fmt == "parquet":
-        return spark.read.parquet(path)
-    return spark.read.schema(schema or clean_schema()).option("header", True).csv(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    return spark.read.schema(schema or clean_schema()).option("header", True).option("enforceSchema", False).csv(path)

@@ -14,19 +14,21 @@ from tidepanel.spec import ENERGY, PanelSpec
 
 def write_panel(
     df: DataFrame, path: str, spec: PanelSpec = ENERGY, fmt: str = "parquet",
-    partition_by: Sequence[str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Write a panel, Parquet partitioned by entity or CSV with a header.
+    """Write a panel as Parquet, or as CSV with a header.
 
-    Rows are range-partitioned on (entity, time) first: few files per entity, sorted for
-    min/max pruning, and a large entity spreads over several tasks.
+    Rows are range-partitioned on (entity, time) and sorted: few files per entity, pruned by
+    their minima and maxima, and a large entity spreads over several files. Entities are no
+    directories, so there may be any number of them, and columns keep their types and places.
+    ``partition_by`` is for columns with few values.
     """
     ordered = df.repartitionByRange(spec.entity, spec.ts).sortWithinPartitions(spec.entity, spec.ts)
     writer = ordered.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
-        writer.partitionBy(*(partition_by or [spec.entity])).parquet(path)
+        writer.partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -43,43 +45,31 @@ def write_profile(df: DataFrame, path: str) -> None:
 
 
 def null_report(df: DataFrame) -> str:
-    """Total nulls, completeness and nulls per column as text (a line per column)."""
+    """Null cells, completeness and nulls per column as text (a line per column with nulls)."""
     size = quality.completeness(df).first()
-    lines = [
-        "RAPPORT DES VALEURS MANQUANTES - DATASET ORIGINAL", "=" * 50, "",
-        f"Total de NA : {size['null_cells']:,}",
-        f"Taux de complétude : {size['completeness']:.2f}%", "",
-    ]
     place = {c: k for k, c in enumerate(df.columns)}
     rows = sorted(quality.null_profile(df).collect(), key=lambda r: place[r["column"]])
-    if rows:
-        lines += ["Détail par colonne :"] + [f"  - {r['column']}: {r['nulls']:,} NA" for r in rows]
-    else:
-        lines.append("Aucune valeur manquante détectée.")
-    return "\n".join(lines) + "\n"
+    head = f"{size['null_cells']:,} null cells, {size['completeness']:.2f} % of all cells filled"
+    body = [f"{r['column']}: {r['nulls']:,}" for r in rows] or ["no column has nulls"]
+    return "\n".join([head, *body]) + "\n"
 
 
 def exploration_report(summary: DataFrame) -> str:
     r = summary.first()
     return (
-        f"Variables analysées: {r['n_variables']}\n"
-        f"Période couverte: {r['first_ts']} à {r['last_ts']}\n"
-        f"Régions: {r['n_entities']}\n"
-        f"Corrélations > 0.5: {r['n_strong_pairs']}\n"
+        f"{r['n_variables']} variables of {r['n_entities']} entities from {r['first_ts']} to {r['last_ts']}; "
+        f"{r['n_strong_pairs']} pairs correlate above 0.5\n"
     )
 
 
 def test_report(pairs: DataFrame, groups: DataFrame, conclusions: DataFrame) -> str:
     """Both test tables and the conclusions as text (a row per test)."""
     c = conclusions.first()
-    return (
-        "1. TESTS QUANTITATIF-QUANTITATIF\n" + pairs.toPandas().to_string()
-        + "\n\n2. TESTS QUANTITATIF-QUALITATIF\n" + groups.toPandas().to_string()
-        + "\n\n3. CONCLUSIONS\n"
-        + f"- {c['n_significant']} relations significatives sur {c['n_tests']} testées\n"
-        + f"- Corrélation la plus forte : {c['strongest_pair']} (r={c['strongest_r']:.3f})\n"
-        + f"- Effet le plus important : {c['largest_effect']} (η²={c['largest_eta_squared']:.3f})\n"
+    summary = (
+        f"{c['n_significant']} of {c['n_tests']} tests significant; strongest pair {c['strongest_pair']} "
+        f"(r {c['strongest_r']:.3f}); largest effect {c['largest_effect']} (eta squared {c['largest_eta_squared']:.3f})"
     )
+    return "\n\n".join([summary, pairs.toPandas().to_string(), groups.toPandas().to_string()]) + "\n"
 
 
 def write_text(df_like: DataFrame, text: str, path: str) -> None:

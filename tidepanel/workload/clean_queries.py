@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as fx
 from tidepanel.operators import cleaning, features, ordering, quality
 from tidepanel.plans import forecast
-from tidepanel.session import shared_folder
+from tidepanel.session import new_path
 from tidepanel.sources import readers, writers
 from tidepanel.spec import ENERGY, LAGS, NULL_CATEGORIES, ROLLING_WINDOWS
 from tidepanel.workload import sql as s
@@ -22,7 +20,7 @@ SOURCES = list(ENERGY.sources)
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return new_path(spark, name)
 
 
 # --- sources and sinks ----------------------------------------------------------------
@@ -37,16 +35,30 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_raw(spark, path, raw.columns)
 
 
-@query(
-    f"WITH {s.clean()} SELECT \"Region\", \"Datetime\", "
-    f"{s.rounded(['Consommation_MW', 'Part_renouvelable', 'Balance_MW'])}, \"Season\" FROM clean"
+_PANEL_COLUMNS = (
+    f"\"Region\", \"Datetime\", {s.rounded(['Consommation_MW', 'Part_renouvelable', 'Balance_MW'])}, \"Season\""
 )
+
+
+def _panel_columns(panel: DataFrame) -> DataFrame:
+    return tidy(panel.select("Region", "Datetime", "Consommation_MW", "Part_renouvelable", "Balance_MW", "Season"))
+
+
+@query(f"WITH {s.clean('user_id')} SELECT {_PANEL_COLUMNS} FROM clean")
 def panel_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned panel written by entity as Parquet and read back with few columns."""
+    """The cleaned panel of users (numbers as text) written as Parquet and read back with few columns."""
     path = _folder(spark, "clean")
-    writers.write_panel(tb.clean_panel(spark, sf_dir), path)
-    panel = readers.read_panel(spark, path)
-    return tidy(panel.select("Region", "Datetime", "Consommation_MW", "Part_renouvelable", "Balance_MW", "Season"))
+    writers.write_panel(tb.clean_panel(spark, sf_dir, "user_id"), path)
+    return _panel_columns(readers.read_panel(spark, path))
+
+
+@query(f"WITH {s.clean()} SELECT {_PANEL_COLUMNS} FROM clean")
+def panel_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned panel written as CSV and read back with its schema."""
+    path = _folder(spark, "clean-csv")
+    panel = tb.clean_panel(spark, sf_dir)
+    writers.write_panel(panel, path, fmt="csv")
+    return _panel_columns(readers.read_panel(spark, path, "csv", panel.schema))
 
 
 @query(
@@ -294,6 +306,20 @@ def harmonic_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(events.select("event_id", wave.alias("temperature")))
 
 
+_UNIFORM = "((('0x' || substr(md5('42|' || event_id), {at}, 8))::UBIGINT)::DOUBLE + 0.5) / 4294967296.0::DOUBLE"
+
+
+@query(
+    f"WITH u AS (SELECT event_id, ts, {_UNIFORM.format(at=1)} AS a, {_UNIFORM.format(at=9)} AS b FROM events) "
+    f"SELECT event_id, {s.r(_WAVE + ' + 3 * sqrt(-2 * ln(a)) * cos(2 * pi() * b)')} AS temperature FROM u"
+)
+def noisy_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same wave with normal noise that depends on the row's key alone."""
+    events = tb.load(spark, sf_dir, "events")
+    wave = fx.harmonic_temperature(F.dayofyear("ts"), F.hour("ts"), 42, ["event_id"])
+    return tidy(events.select("event_id", wave.alias("temperature")))
+
+
 _W = 'OVER (PARTITION BY "Region" ORDER BY "Datetime")'
 _RATIO_SQL = """"Hour" * "IsWeekend" AS "Hour_IsWeekend",
   "Production_totale_MW" / nullif(lag("Consommation_MW") OVER (PARTITION BY "Region" ORDER BY "Datetime") + 1, 0) AS "Production_Conso_Ratio",

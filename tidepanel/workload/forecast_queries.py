@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 from tidepanel.operators import modelling, profiles, serial
 from tidepanel.operators.ordering import chronological_split, with_row_index
 from tidepanel.plans import forecast
-from tidepanel.session import shared_folder
+from tidepanel.session import new_path, write_table
 from tidepanel.sources import writers
 from tidepanel.spec import ENERGY, FEATURE_SETS
 from tidepanel.workload import sql as s
@@ -61,7 +59,7 @@ def _orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def linear_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OLS, ridge and lasso pipelines over all orders, against their closed forms."""
-    split = modelling.training_cache(_orders_split(spark, sf_dir), rows_per_task=1_000_000)
+    split = write_table(_orders_split(spark, sf_dir), "training")
     stats = modelling.TargetStats.of(split.where("split = 'train'"), "y")
     out = None
     for name in LINEAR:
@@ -127,7 +125,7 @@ def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = modelling.TargetStats.of(split.where("split = 'train'"), ENERGY.target)
     estimator = modelling.estimators(ENERGY.target, stats)["Ridge Regression"]
     result = modelling.fit(estimator, split, stats.n, FEATURE_SETS["Basique"], ENERGY.entity)
-    path = writers.save_pipeline(result.model, f"{shared_folder(spark)}/{uuid.uuid4().hex}", "Ridge Regression")
+    path = writers.save_pipeline(result.model, new_path(spark, "pipeline"), "Ridge Regression")
     again = PipelineModel.load(path).transform(split)
     keys = [ENERGY.entity, ENERGY.ts]
     both = result.predicted.select(*keys, "prediction").join(
@@ -143,13 +141,6 @@ def residual_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.diagnostics(fits["Complet", "Ridge Regression"].predicted)["ljung_box"]
 
 
-@query()
-def residual_shapiro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shapiro-Wilk on the first 5000 test errors, the test's definition in the original."""
-    events = _scored(spark, sf_dir)
-    return serial.shapiro_first(events, "error", ["ts", "event_id"])
-
-
 # --- metrics and diagnostics of given predictions, over all events ------------------------
 
 _P = "ev AS (SELECT *, value AS y, 30 + hour(ts) + user_id % 7 AS p, CAST(hour(ts) AS INTEGER) AS \"Hour\", value - (30 + hour(ts) + user_id % 7) AS error FROM events)"
@@ -161,6 +152,14 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modelling.with_error(events.withColumn("prediction", guess), "value")
 
 
+@query(
+    f"WITH {_P}, " + s.normality("SELECT event_type, error AS e FROM ev", "event_type")
+)
+def error_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jarque-Bera and K² of the errors of a given prediction, all rows of every entity."""
+    return tidy(serial.normality(_scored(spark, sf_dir), "error", ["event_type"]), 4)
+
+
 @query(f"WITH {_P}, m AS ({_metrics_sql('event_type', 'ev')}) SELECT event_type, {_METRIC_COLUMNS} FROM m")
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy_metrics(modelling.metrics(_scored(spark, sf_dir), "value", keys=["event_type"]), ["event_type"])

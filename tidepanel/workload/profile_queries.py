@@ -296,7 +296,7 @@ def _category_sql() -> str:
             if a == b:
                 value = "1.0::DOUBLE"
             else:
-                terms = [f"coalesce(abs(corr({s.q(x)}, {s.q(y)})), 0)" for x in xs for y in ys]
+                terms = [f"abs(corr({s.q(x)}, {s.q(y)}))" for x in xs for y in ys]
                 value = f"({' + '.join(terms)}) / {len(terms)}"
             cells.append(f"{{'cat1': '{a}', 'cat2': '{b}', 'm': {value}}}")
     return f"SELECT p.cat1 AS cat1, p.cat2 AS cat2, {s.r('p.m')} AS mean_abs_corr FROM (SELECT unnest([{', '.join(cells)}]) AS p FROM clean)"

@@ -204,3 +204,21 @@ def chi2_upper(x: str, dof: str) -> str:
         f"exp((1 - {dof} / 2.0) * ln(2.0) - lgamma({dof} / 2.0) - u * u / 2) * pow(u, {dof} - 1)"
     )
     return _upper(density, f"least(sqrt({x}), 60.0)")
+
+
+def normality(rows: str, keys: str) -> str:
+    """Jarque-Bera and K² of column e of ``rows`` per ``keys``, as CTEs and the final select."""
+    return f"""nr AS ({rows}),
+nc AS (SELECT {keys}, e - avg(e) OVER (PARTITION BY {keys}) AS d FROM nr WHERE e IS NOT NULL),
+nm AS (SELECT {keys}, count(*)::DOUBLE AS n, avg(d * d) AS m2, avg(pow(d, 3)) AS m3, avg(pow(d, 4)) AS m4 FROM nc GROUP BY {keys}),
+nk AS (SELECT *, m3 / pow(m2, 1.5::DOUBLE) AS skewness, m4 / (m2 * m2) - 3 AS kurtosis,
+  3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) AS b2,
+  6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS sb FROM nm),
+nw AS (SELECT *, n / 6 * (skewness * skewness + kurtosis * kurtosis / 4) AS jb, sqrt(2 * (b2 - 1)) - 1 AS w2,
+  6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) AS a,
+  (kurtosis - (3 * (n - 1) / (n + 1) - 3)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) AS x FROM nk),
+nz AS (SELECT *, asinh(skewness * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) / sqrt(2 / (w2 - 1))) / sqrt(0.5::DOUBLE * ln(w2)) AS zs,
+  (1 - 2 / a) / (1 + x * sqrt(2 / (a - 4))) AS base FROM nw),
+nf AS (SELECT *, CASE WHEN n >= 20 THEN zs * zs + pow((1 - 2 / (9 * a) - cbrt(base)) / sqrt(2 / (9 * a)), 2) END AS k2 FROM nz)
+SELECT {keys}, CAST(n AS BIGINT) AS n, {rounded(['skewness', 'kurtosis', 'jb'], 4)}, {r('exp(-jb / 2)', 4)} AS jb_p,
+  {r('k2', 4)} AS k2, {r('exp(-k2 / 2)', 4)} AS k2_p, coalesce(exp(-k2 / 2), exp(-jb / 2)) > 0.05 AS normal FROM nf"""

@@ -330,8 +330,10 @@ def jarque_bera(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(found.withColumn("jb", F.round(F.col("jb") + 37e-7, 4) + F.lit(0.0)))
 
 
-@query()
-def shapiro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Residual normality per pair and entity on at most 5000 drawn rows each."""
+@query(
+    f"WITH {_EVENTS}, p AS ({_pearson_sql(EVENT_PAIRS, 'ev')}), e AS ({_JB_GROUPS}), " + s.normality("SELECT * FROM e", "pair, event_type")
+)
+def residual_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jarque-Bera and K² per pair and entity over all rows."""
     rows = corr.with_residual(events_hour(spark, sf_dir), EVENT_PAIRS)
-    return serial.shapiro(rows, "residual", ["pair", "event_type"], ["event_id"])
+    return tidy(serial.normality(rows, "residual", ["pair", "event_type"]), 4)
