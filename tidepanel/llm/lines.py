@@ -49,8 +49,11 @@ def dedup_lines(documents: DataFrame, min_chars: int = 10, min_docs: int = 2) ->
     drops = lines.join(shared, ["k1", "k2"]).where(F.col("_id") != F.col("first"))
     drops = drops.groupBy("_id", "_row").agg(F.collect_set("pos").alias("_drop"))
 
-    text = F.coalesce("doc.text", F.lit(""))
-    whole = documents.select(F.struct("*").alias("doc"), id_key("doc_id").alias("_id"), row_hash("text").alias("_row"))
+    place = {c: f"column_{k}" for k, c in enumerate(documents.columns)}  # no clash with names used here
+    given = F.col(place["text"])
+    text = F.coalesce(given, F.lit(""))
+    whole = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in place.items()])
+    whole = whole.withColumns({"_id": id_key(place["doc_id"]), "_row": row_hash(given)})
     whole = whole.join(drops.hint("shuffle_hash"), ["_id", "_row"], "left")
     hit = F.col("_drop").isNotNull()
     whole = bind(whole, lines=F.when(hit, F.split(text, "\n", -1)))
@@ -60,10 +63,10 @@ def dedup_lines(documents: DataFrame, min_chars: int = 10, min_docs: int = 2) ->
         whole,
         n_lines=(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long"),
         n_dropped=F.when(hit, F.size("_drop")).otherwise(0).cast("long"),
-        kept=F.when(hit, kept).otherwise(F.col("doc.text")),
+        kept=F.when(hit, kept).otherwise(given),
     )
     new = {"text": F.col("kept")}
     if "n_chars" in documents.columns:
         new["n_chars"] = F.length("kept").cast(documents.schema["n_chars"].dataType)
     own = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    return whole.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in own], "n_lines", "n_dropped")
+    return whole.select(*[new.get(c, F.col(place[c])).alias(c) for c in own], "n_lines", "n_dropped")

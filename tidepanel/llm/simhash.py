@@ -234,12 +234,14 @@ def keep_first(documents: DataFrame, **options) -> DataFrame:
     """
     found = near_duplicates(documents, **options).where(F.col("id") == F.col("component"))
     first = found.groupBy("id").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
-    whole = documents.select(F.struct("*").alias("doc"), id_key("doc_id").cast("long").alias("id"), row_hash("text").alias("row"))
+    place = {c: f"column_{k}" for k, c in enumerate(documents.columns)}  # no clash with names used here
+    whole = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in place.items()])
+    whole = whole.withColumns({"id": id_key(place["doc_id"]).cast("long"), "row": row_hash(place["text"])})
     kept = whole.join(first.hint("shuffle_hash"), ["id", "row"])
     one = F.row_number().over(Window.partitionBy("id", "row").orderBy("copies"))
-    once = kept.where(F.col("copies") == 1).select("doc.*")
-    again = kept.where(F.col("copies") > 1).withColumn("nth", one).where(F.col("nth") == 1).select("doc.*")
-    return once.unionByName(again)
+    again = kept.where(F.col("copies") > 1).withColumn("nth", one).where(F.col("nth") == 1).drop("nth")
+    kept = kept.where(F.col("copies") == 1).unionByName(again)
+    return kept.select(*[F.col(n).alias(c) for c, n in place.items()])
 
 
 __all__ = ["NO_ID", "fingerprint", "keep_first", "near_duplicates"]

@@ -197,7 +197,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60)
 
 def fit(
     documents: DataFrame, labels: DataFrame, discount: float = 0.75, chance: float = 10.83, least: int = 3,
-    max_labels: int = 200_000,
+    max_labels: int = 60_000,
 ) -> Model:
     """Learn from the documents that ``labels`` (doc_id, toxic) marks; null labels and ids are passed over.
 
