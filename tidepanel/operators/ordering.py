@@ -279,11 +279,36 @@ def interpolate(
 def chronological_split(
     df: DataFrame, order: Sequence[str], fraction: float = 0.8, name: str = "split"
 ) -> DataFrame:
-    """Label the first ``int(fraction * n)`` rows in ``order`` train and the rest test."""
-    numbered = with_row_index(df, order)
-    # int() of the product in doubles, as a float multiplication would give it.
-    cut = numbered.agg(F.floor(F.count("*").cast("double") * F.lit(fraction))).scalar()
-    return numbered.withColumn(name, F.when(F.col("row_index") < cut, "train").otherwise("test"))
+    """Label the first ``int(fraction * n)`` rows in ``order`` train and the rest test.
+
+    Rows are counted per value of the first key; only those of the value in which the cut
+    falls are put in order. The table itself is neither shuffled nor written: each row is
+    compared with the last key of the training part. Nulls of a key come first.
+    """
+    key, rest = order[0], list(order[1:])
+    sizes = df.agg(F.count("*").alias("n"), F.count(key).alias("known")).first()
+    cut = int(float(sizes["n"]) * fraction) - (sizes["n"] - sizes["known"])  # as a float multiplication gives it
+    if cut <= 0 and sizes["n"] != sizes["known"]:
+        here, inside, before = F.col(key).isNull(), cut + sizes["n"] - sizes["known"], F.lit(False)
+    else:
+        rungs = value_ladder(df.select(key), [], key)
+        rung = rungs.where((F.col("below") <= cut) & (F.lit(cut) < F.col("below") + F.col("n_at"))).first()
+        if rung is None:  # all rows or none
+            return df.withColumn(name, F.lit("train" if cut > 0 else "test"))
+        at = F.lit(rung[key]).cast(df.schema[key].dataType)
+        here, inside, before = F.col(key) == at, cut - rung["below"], F.col(key).isNull() | (F.col(key) < at)
+    early = F.lit(False)
+    if inside > 0 and rest:
+        last = with_row_index(df.where(here).select(*rest), rest).where(F.col("row_index") == inside - 1).first()
+        early, same = F.lit(False), F.lit(True)
+        for c in rest:
+            mark = F.lit(last[c]).cast(df.schema[c].dataType)
+            less = F.col(c).isNull() if last[c] is None else F.col(c).isNull() | (F.col(c) < mark)
+            early = early | (same & (F.lit(False) if last[c] is None else less))
+            same = same & F.col(c).eqNullSafe(mark)
+        early = early | same
+    first = F.coalesce(before, F.lit(False)) | (F.coalesce(here, F.lit(False)) & early)
+    return df.withColumn(name, F.when(first, "train").otherwise("test"))
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], k: int, seed: int = 42) -> DataFrame:

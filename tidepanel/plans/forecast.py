@@ -21,7 +21,7 @@ def prepared(
     """Model inputs with the column ``split``: the first 80 % of rows in time train."""
     options = {k: v for k, v in {"lags": lags, "windows": windows}.items() if v}
     wide = features.features(panel, spec.at(hourly=True), noise_seed=noise_seed, **options)
-    return chronological_split(wide, [spec.ts, spec.entity])
+    return chronological_split(write_table(wide, "features"), [spec.ts, spec.entity])
 
 
 def forecast(

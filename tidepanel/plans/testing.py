@@ -13,7 +13,7 @@ from tidepanel.operators import correlation as corr
 from tidepanel.operators import grouptests, serial
 from tidepanel.operators.profiles import histogram
 from tidepanel.session import write_table
-from tidepanel.spec import ENERGY, TESTED_GROUPS, TESTED_PAIRS, PanelSpec
+from tidepanel.spec import ENERGY, HEATMAP_VARIABLES, TESTED_GROUPS, TESTED_PAIRS, PanelSpec
 
 
 def pair_tests(
@@ -95,3 +95,29 @@ def conclusions(pairs: DataFrame, groups: DataFrame, alpha: float = 0.05) -> Dat
         F.concat_ws(" par ", "b.largest.quantitative", "b.largest.qualitative").alias("largest_effect"),
         F.col("b.largest.eta_squared").alias("largest_eta_squared"),
     )
+
+
+def masked_matrix(df: DataFrame, variables: Sequence[str] = HEATMAP_VARIABLES, alpha: float = 0.05) -> DataFrame:
+    """The correlation matrix of the key variables; coefficients below the critical |r| are 0."""
+    return corr.mask_insignificant(corr.correlation_matrix(df, list(variables)), df, alpha)
+
+
+def granger_tests(df: DataFrame, spec: PanelSpec, effect: str, cause: str, max_lag: int = 24, alpha: float = 0.05) -> dict[str, DataFrame]:
+    """F and p of every lag per entity, and the significant lags."""
+    found = write_table(serial.with_granger_p(serial.granger(df, spec, effect, cause, max_lag)), "granger")
+    return {"granger": found, "granger_lags": serial.significant_lags(found, [spec.entity], alpha)}
+
+
+def all_tests(
+    panel: DataFrame, spec: PanelSpec = ENERGY, partial: tuple[str, str, str] = ("Consommation_MW", "Production_totale_MW", "Hour"),
+    causes: tuple[str, str] = ("Production_totale_MW", "Consommation_MW"), max_lag: int = 24,
+) -> dict[str, DataFrame]:
+    """Stage C in one call: both batteries, post-hoc pairs, partial correlation, Granger, masked
+    matrix, p-value histogram and conclusions. ``panel`` should be a written table."""
+    pairs, groups = write_table(pair_tests(panel), "pairs"), write_table(group_tests(panel), "groups")
+    out = {"pairs": pairs, "groups": groups, "p_values": p_values(pairs, groups), "conclusions": conclusions(pairs, groups)}
+    out |= {f"tukey {m} by {c}": t for (m, c), t in post_hoc(panel, groups, spec).items()}
+    out["partial"] = corr.partial_correlation(panel, *partial)
+    out["matrix"] = masked_matrix(panel)
+    hourly = spec.at(hourly=True)
+    return out | granger_tests(panel, hourly, *causes, max_lag)

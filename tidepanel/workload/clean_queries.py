@@ -511,7 +511,7 @@ def null_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(quality.null_by_month(tb.raw_panel(spark, sf_dir, "user_id"), "Date"))
 
 
-_MAPPED = ["Consommation_MW", "Thermique_MW", "Pompage_MW", "TCO_Thermique"]
+_MAPPED = [*s.MEASURES, *s.RATES]
 
 
 @query(

@@ -242,19 +242,52 @@ def significant_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.agg(F.count("*").alias("n_tests"), grouptests.count_significant("p").alias("n_significant"))
 
 
-@query()
+_ALL_P = (
+    f"{_LINES}, {_PEARSON}, v AS (SELECT pair, r, {s.t_two_sided('t', '(n - 2)')} AS pv FROM p), "
+    f"m AS ({_anova_sql(ORDER_TESTS, 'orders')}), f AS (SELECT *, (ssb / (n_groups - 1)) / (ssw / (n - n_groups)) AS f, ssb / (ssb + ssw) AS e FROM m), "
+    f"w AS (SELECT quantitative, qualitative, e, {s.f_upper('f', '(n_groups - 1)', '(n - n_groups)')} AS pv FROM f), "
+    "al AS (SELECT pv FROM v UNION ALL SELECT pv FROM w)"
+)
+
+
+@query(
+    f"WITH {_ALL_P}, b0 AS (SELECT min(pv) AS lo, max(pv) AS hi FROM al), "
+    "b AS (SELECT least(floor((pv - lo) / ((hi - lo) / 20)), 19) AS b, count(*) AS c FROM al, b0 GROUP BY 1) "
+    "SELECT CAST(i AS INTEGER) AS bin, coalesce(c, 0) AS count FROM range(20) r(i) LEFT JOIN b ON b = i"
+)
 def p_value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = corr.with_pearson_p(corr.pearson(tb.lines(spark, sf_dir), LINE_PAIRS))
     groups = grouptests.with_anova_p(grouptests.anova(tb.load(spark, sf_dir, "orders"), ORDER_TESTS))
-    return testing.p_values(pairs.withColumnRenamed("p", "pearson_p"), groups)
+    return testing.p_values(pairs.withColumnRenamed("p", "pearson_p"), groups).select("bin", "count")
 
 
-@query()
+@query(
+    f"WITH {_ALL_P} SELECT (SELECT count(*) FROM al) AS n_tests, (SELECT count(*) FROM al WHERE pv < 0.05) AS n_significant, "
+    f"(SELECT arg_max(pair, abs(r)) FROM v) AS strongest_pair, {s.r('(SELECT arg_max(r, abs(r)) FROM v)')} AS strongest_r, "
+    "(SELECT arg_max(quantitative || ' par ' || qualitative, e) FROM w) AS largest_effect, "
+    f"{s.r('(SELECT max(e) FROM w)')} AS largest_eta_squared"
+)
 def test_conclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of significant tests, strongest pair and largest effect of two tables."""
     pairs = corr.with_pearson_p(corr.pearson(tb.lines(spark, sf_dir), LINE_PAIRS))
     groups = grouptests.with_anova_p(grouptests.anova(tb.load(spark, sf_dir, "orders"), ORDER_TESTS))
-    return testing.conclusions(pairs.withColumnsRenamed({"p": "pearson_p", "r": "pearson_r"}), groups)
+    return tidy(testing.conclusions(pairs.withColumnsRenamed({"p": "pearson_p", "r": "pearson_r"}), groups))
+
+
+@query(
+    "WITH l AS (SELECT l_extendedprice, l_quantity, l_discount, l_tax, CAST(l_linenumber AS DOUBLE) AS l_linenumber FROM lineitem), "
+    "n AS (SELECT count(*) AS n FROM l), "
+    + "c AS (" + _union([
+        f"SELECT '{a}' AS var1, '{b}' AS var2, corr({a}, {b}) AS corr FROM l"
+        for a in ("l_extendedprice", "l_quantity", "l_discount", "l_tax") for b in ("l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    ]) + ") "
+    f"SELECT var1, var2, {s.r('CASE WHEN abs(corr) < 1.959964 / sqrt(n - 2 + 1.959964 * 1.959964) THEN 0 ELSE corr END')} AS corr_significant FROM c, n"
+)
+def masked_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix with insignificant coefficients at 0; with many rows t is close to its normal limit."""
+    names = ("l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    found = testing.masked_matrix(tb.load(spark, sf_dir, "lineitem"), names)
+    return tidy(found.select("var1", "var2", "corr_significant"))
 
 
 # --- time dependence ------------------------------------------------------------------
@@ -288,6 +321,20 @@ def ljung_box_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(serial.with_ljung_box_p(found))
 
 
+_LB = _ljung_sql("event_type", "ts, event_id")
+
+
+@query(
+    f"WITH lb AS ({_LB}), h AS (SELECT event_type, lag FROM lb WHERE p < 0.5) SELECT event_type, count(*) AS n_significant, "
+    "array_to_string(list_slice(list(lag ORDER BY lag), 1, 5), ',') AS first_lags FROM h GROUP BY 1"
+)
+def significant_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per entity the number of lags with a Ljung-Box p below one half and the first five."""
+    events = tb.load(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    found = serial.significant_lags(serial.with_ljung_box_p(serial.ljung_box(events, tb.EVENTS, "value")), ["event_type"], alpha=0.5)
+    return found.withColumn("first_lags", F.array_join(F.col("first_lags").cast("array<string>"), ","))
+
+
 def _granger(spark: SparkSession, sf_dir: str, max_lag: int) -> DataFrame:
     events = events_hour(spark, sf_dir).select("event_type", "ts", "event_id", "value", "user_id")
     return serial.granger(events, tb.EVENTS, "value", "user_id", max_lag)
