@@ -11,6 +11,7 @@ from tidepanel.operators import features, modelling, serial
 from tidepanel.operators.ordering import chronological_split, with_row_index
 from tidepanel.operators.profiles import histogram
 from tidepanel.session import write_table
+from tidepanel.sources import writers
 from tidepanel.spec import ENERGY, FEATURE_SETS, PanelSpec
 
 
@@ -32,6 +33,19 @@ def forecast(
     return modelling.model_grid(prepared(panel, spec), spec.target, spec.entity, feature_sets, models, make)
 
 
+def best_fit(results: DataFrame, fits: dict) -> tuple[str, str]:
+    """(feature set, model) of the fit with the largest test R²."""
+    best = modelling.best_model(results).first()
+    return best["feature_set"], best["model"]
+
+
+def save(results: DataFrame, fits: dict, folder: str) -> str:
+    """Write the result table and the best fit's pipeline; returns the pipeline's path."""
+    writers.write_results(results, f"{folder.rstrip('/')}/model_results")
+    chosen = best_fit(results, fits)
+    return writers.save_pipeline(fits[chosen].model, folder, chosen[1])
+
+
 def diagnostics(
     predicted: DataFrame, spec: PanelSpec = ENERGY, slice_from: int = 1000, slice_rows: int = 168
 ) -> dict[str, DataFrame]:

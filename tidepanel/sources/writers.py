@@ -35,6 +35,11 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
+def write_results(results: DataFrame, path: str) -> None:
+    """The model result table (a row per feature set and model) as CSV."""
+    write_csv(results.orderBy("feature_set", "model"), path)
+
+
 def panel_head(df: DataFrame, spec: PanelSpec = ENERGY, n: int = 1000) -> DataFrame:
     """The first n rows in (entity, time) order, for a quick look."""
     return df.orderBy(spec.entity, spec.ts, *spec.tie_break).limit(n)

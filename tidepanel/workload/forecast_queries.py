@@ -14,6 +14,7 @@ from tidepanel.sources import writers
 from tidepanel.spec import ENERGY, FEATURE_SETS
 from tidepanel.workload import sql as s
 from tidepanel.workload import tables as tb
+from tidepanel.workload.clean_queries import FEATURES_SQL
 from tidepanel.workload.registry import query, tidy
 
 LINEAR = ["Linear Regression", "Ridge Regression", "Lasso Regression"]
@@ -112,13 +113,51 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modelling.importances(model, FEATURE_SETS["Complet"], ENERGY.entity, spark)
 
 
+def _small_ensembles(target: str, stats: modelling.TargetStats) -> dict:
+    return modelling.estimators(target, stats, trees=20, rounds=10, forest_depth=8)
+
+
+@query()
+def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six models on all four feature sets; the stored result table read back.
+
+    Ensembles have 20 trees here, so that 24 fits end in minutes; ``forecast`` defaults to 100.
+    """
+    results, fits = modelling.model_grid(
+        _prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, FEATURE_SETS, make=_small_ensembles
+    )
+    folder = new_path(spark, "models")
+    forecast.save(results, fits, folder)
+    return spark.read.schema(results.schema).option("header", True).csv(f"{folder}/model_results")
+
+
+@query()
+def ensemble_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 inputs of a forest and of boosting on the complete feature set."""
+    chosen = {"Complet": FEATURE_SETS["Complet"]}
+    names = ["Random Forest", "Gradient Boosting"]
+    _, fits = modelling.model_grid(_prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, chosen, names, _small_ensembles)
+    tables = [
+        modelling.importances(fits["Complet", n].model, chosen["Complet"], ENERGY.entity, spark).withColumn("model", F.lit(n))
+        for n in names
+    ]
+    return tables[0].unionByName(tables[1])
+
+
 @query()
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best of the linear models by test R²."""
-    return modelling.best_model(_grid(spark, sf_dir, LINEAR, ["Basique", "Complet"])[0])
+    """The best of the linear models on all feature sets by test R²."""
+    return modelling.best_model(_grid(spark, sf_dir, LINEAR, list(FEATURE_SETS))[0])
 
 
 @query()
+def best_model_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error summary per entity of the best linear model's own test rows."""
+    results, fits = _grid(spark, sf_dir, LINEAR, list(FEATURE_SETS))
+    return forecast.diagnostics(fits[forecast.best_fit(results, fits)].predicted)["by_entity"]
+
+
+@query(f"WITH {FEATURES_SQL} SELECT count(*) AS n, 0::DOUBLE AS max_change FROM split")
 def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted pipeline stored, loaded and applied again: largest change of a prediction."""
     split = _prepared(spark, sf_dir)
@@ -131,7 +170,7 @@ def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = result.predicted.select(*keys, "prediction").join(
         again.select(*keys, F.col("prediction").alias("reloaded")), keys
     )
-    return both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("max_change"))
+    return tidy(both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("max_change")))
 
 
 @query()

@@ -10,6 +10,7 @@ from tidepanel.functions.tails import tail
 from tidepanel.operators import correlation as corr
 from tidepanel.operators import grouptests, serial
 from tidepanel.plans import testing
+from tidepanel.spec import TESTED_GROUPS
 from tidepanel.workload import sql as s
 from tidepanel.workload import tables as tb
 from tidepanel.workload.profile_queries import _LINES
@@ -223,10 +224,33 @@ def tukey_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouptests.with_tukey_p(pairs)
 
 
-@query()
+def _grouped_sql(m: str, c: str) -> str:
+    """Sums of squares where rows without a group count in the total only."""
+    known = "FILTER (WHERE g IS NOT NULL)"
+    return (
+        f"SELECT '{m}' AS quantitative, '{c}' AS qualitative, CAST(sum(n) {known} AS BIGINT) AS n, count(g) AS n_groups, "
+        f"sum(n * pow(mean - inner_mean, 2)) {known} AS between_, sum(n * var) {known} AS ssw, "
+        f"sum(n * pow(mean - all_mean, 2)) {known} / sum(n * (var + pow(mean - all_mean, 2))) AS e "
+        f"FROM (SELECT {c} AS g, count({m}) AS n, avg({m}) AS mean, var_pop({m}) AS var, (SELECT avg({m}) FROM clean) AS all_mean, "
+        f"(SELECT avg({m}) FROM clean WHERE {c} IS NOT NULL) AS inner_mean FROM clean GROUP BY 1)"
+    )
+
+
+_GROUPED = _union([_grouped_sql(m, c) for m, c in TESTED_GROUPS])
+_RANKED = _union([_kruskal_sql([(m, c)], f"(SELECT * FROM clean WHERE {c} IS NOT NULL)") for m, c in TESTED_GROUPS])
+
+
+@query(
+    f"WITH {s.clean()}, m AS ({_GROUPED}), f AS (SELECT *, CASE WHEN n_groups > 1 THEN (between_ / (n_groups - 1)) / (ssw / (n - n_groups)) END AS f FROM m), "
+    f"k AS ({_RANKED}), "
+    f"v AS (SELECT quantitative, qualitative, f.n, f.n_groups, f, h, e, {s.f_upper('f', '(f.n_groups - 1)', '(f.n - f.n_groups)')} AS pv, "
+    f"CASE WHEN f.n_groups > 1 THEN {s.chi2_upper('h', '(f.n_groups - 1)')} END AS kp FROM f JOIN k USING (quantitative, qualitative)) "
+    f"SELECT quantitative, qualitative, n, n_groups, {s.r('f', 4)} AS anova_f, {s.r('pv', 4)} AS anova_p, {s.r('h', 4)} AS kruskal_h, "
+    f"{s.r('kp', 4)} AS kruskal_p, {s.r('e', 4)} AS eta_squared, {_EFFECT} AS effect_size FROM v"
+)
 def group_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ANOVA, Kruskal-Wallis and effect sizes of the cleaned panel."""
-    return testing.group_tests(tb.stored_clean_panel(spark, sf_dir))
+    return tidy(testing.group_tests(tb.stored_clean_panel(spark, sf_dir)).drop("stars"), 4)
 
 
 @query(
