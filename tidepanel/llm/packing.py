@@ -69,14 +69,14 @@ def pack(
 
     A null or empty text is its end id alone; a null doc_id stays null; repeated rows are packed
     each on its own; an empty table gives no rows; other columns are ignored.
-    Nothing but the rank table (tasks x lengths rows) is shuffled.
+    Nothing but the rank table (tasks x lengths rows) is shuffled while that is of broadcast size.
     """
     if largest & (largest - 1):
         raise ValueError("largest must be a power of two")
     cut = write_table(pieces(documents, tokenizer, end_id, largest, with_ids), "pieces")
     used = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
     longer = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    used = used.select("length", "task", F.coalesce(longer, F.lit(0)).alias("before"))
+    used = write_table(used.select("length", "task", F.coalesce(longer, F.lit(0)).alias("before")), "ranks")
     totals = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # 12 rows
     first, base = {}, 0
     for length in sorted(totals, reverse=True):
@@ -84,6 +84,8 @@ def pack(
     at = F.lit(0).cast("long")
     for length, n in first.items():
         at = F.when(F.col("length") == length, F.lit(n).cast("long")).otherwise(at)
+    if used.count() <= 1_000_000:  # 20 MB; a larger rank table is joined by shuffle
+        used = F.broadcast(used)
     return cut.join(used, ["length", "task"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",
         (at + F.col("before") + F.col("slot")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
