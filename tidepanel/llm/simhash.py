@@ -202,7 +202,7 @@ def links(classes: DataFrame, bits: int, max_sample: int, leaf_rows: int) -> Dat
 
 
 def near_duplicates(
-    documents: DataFrame, shingle: int = 3, bits: int = 2, max_sample: int = 65_536, leaf_rows: int = 8_192
+    documents: DataFrame, shingle: int = 3, bits: int = 2, max_sample: int = 20_000, leaf_rows: int = 8_192
 ) -> DataFrame:
     """(id, row, fp, component) per document: component is the smallest id that links reach.
 
