@@ -203,6 +203,7 @@ def stars(p: Column | str, otherwise: str = "ns") -> Column:
     return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise(otherwise)
 
 
+# Thresholds and labels of correlations and effects.
 def strength(r: Column | str) -> Column:
     size = F.abs(col(r))
     return (

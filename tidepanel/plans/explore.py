@@ -15,6 +15,7 @@ from tidepanel.spec import (
     PanelSpec,
 )
 
+# Entities of the day curves and the sources of the mix.
 TYPICAL = ("Ile-de-France", "Auvergne-Rhone-Alpes", "Bretagne")
 MIX = ("Nucleaire_MW", "Hydraulique_MW", "Eolien_MW", "Solaire_MW", "Thermique_MW")
 

@@ -126,6 +126,8 @@ CORRELATION_CATEGORIES = {
     "Échanges": ("Echanges_physiques_MW", "Balance_MW"),
     "Renouvelable": ("Part_renouvelable", "Production_renouvelable_MW"),
 }
+# Columns left out of profiles, key variables, tested pairs and groups, lags,
+# rolling windows and feature sets of the energy preset.
 CALENDAR_EXCLUDED = (
     "Year", "Month", "Day", "Hour", "DayOfWeek", "IsWeekend", "Season_num",
 )
