@@ -145,38 +145,46 @@ def _solver(max_lag: int):
                     # A series shorter than both ends fills them from the same rows.
                     late = place >= n - max_lag
                     ends[k, place[late] - n] = values[late]
+                edges = _edge_sums(ends, max_lag)
                 for p in range(1, max_lag + 1):
                     dof = n - 3 * p - 1
                     if dof > 0:
-                        f = _f_statistic(sums, np.asarray(row.totals, dtype=float), ends, n, p, dof)
+                        f = _f_statistic(sums, np.asarray(row.totals, dtype=float), ends, edges, n, p, dof)
                         out.append((row.entity, p, n - p, f, p, dof))
             yield pd.DataFrame(out, columns=["entity", "lag", "n", "f", "df_num", "df_den"])
 
     return solve
 
 
+def _edge_sums(ends: np.ndarray, max_lag: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of lagged products over the first m rows and over the last m, by (series, series, lag, m)."""
+    first, last = ends[:, :max_lag], ends[:, ::-1][:, :max_lag]  # last row first
+    head, back = np.zeros((2, 2, max_lag + 1, max_lag + 1)), np.zeros((2, 2, max_lag + 1, max_lag + 1))
+    for s in range(2):
+        for u in range(2):
+            for h in range(max_lag):
+                head[s, u, h, h + 1 :] = np.cumsum(first[s, h:] * first[u, : max_lag - h])
+                back[s, u, h, 1 : max_lag - h + 1] = np.cumsum(last[s, : max_lag - h] * last[u, h:])
+    return head, back
+
+
 def _f_statistic(
-    sums: np.ndarray, totals: np.ndarray, ends: np.ndarray, n: int, p: int, dof: int
+    sums: np.ndarray, totals: np.ndarray, ends: np.ndarray, edges: tuple[np.ndarray, np.ndarray], n: int, p: int, dof: int
 ) -> float:
     """F of lag p from full lag products, less the products outside rows p+1..n."""
-    # Regressor c = (series, shift): effect first, its lags, the cause's lags, intercept.
-    terms = [(0, i) for i in range(p + 1)] + [(1, i) for i in range(1, p + 1)]
-    head = lambda s, a: ends[s, a]  # noqa: E731  position a counted from the start
-    tail_ = lambda s, a: ends[s, a - n]  # noqa: E731  position a near the end
-    size = len(terms) + 1
+    # Regressors (series, shift): effect first, its lags, the cause's lags, intercept.
+    series = np.array([0] * (p + 1) + [1] * p)
+    shift = np.array([*range(p + 1), *range(1, p + 1)])
+    size = len(shift) + 1
+    i, j = np.meshgrid(shift, shift, indexing="ij")
+    s, u = np.meshgrid(series, series, indexing="ij")
+    swap = i > j
+    i, j, s, u = (np.where(swap, b, a) for a, b in ((i, j), (j, i), (s, u), (u, s)))
     gram = np.zeros((size, size))
-    for r, (s, i) in enumerate(terms):
-        total = totals[s] - sum(head(s, a) for a in range(p - i)) - sum(tail_(s, a) for a in range(n - i, n))
-        gram[r, -1] = gram[-1, r] = total
-        for c, (u, j) in enumerate(terms):
-            if c < r:
-                continue
-            (s1, i1), (s2, j2) = ((s, i), (u, j)) if i <= j else ((u, j), (s, i))
-            h = j2 - i1
-            value = sums[s1, s2, h]
-            value -= sum(head(s1, a) * head(s2, a - h) for a in range(h, p - i1))
-            value -= sum(tail_(s1, a) * tail_(s2, a - h) for a in range(n - i1, n))
-            gram[r, c] = gram[c, r] = value
+    gram[:-1, :-1] = sums[s, u, j - i] - edges[0][s, u, j - i, p - i] - edges[1][s, u, j - i, i]
+    for r, (own, k) in enumerate(zip(series, shift)):
+        late = ends[own, -k:].sum() if k else 0.0
+        gram[r, -1] = gram[-1, r] = totals[own] - ends[own, : p - k].sum() - late
     gram[-1, -1] = n - p
 
     def residual(columns: list[int]) -> float:
