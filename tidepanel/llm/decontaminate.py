@@ -69,7 +69,7 @@ class Items:
         if not len(self.sizes):
             return
         values = block_minima(np.concatenate(self.sets), np.cumsum(self.sizes) - self.sizes)
-        of = np.maximum(8, 1 << np.ceil(np.log2(self.sizes)).astype(np.int64))
+        of = np.maximum(2, 1 << np.ceil(np.log2(self.sizes)).astype(np.int64))
         for width in np.unique(of):
             own = np.flatnonzero(of == width)
             keys = self.keys(values[own]).reshape(-1)
