@@ -18,7 +18,7 @@ class TokenIds:
     memory of the memo; it is emptied when full, which changes nothing but time.
     """
 
-    def __init__(self, path: str, memo_words: int = 700_000):
+    def __init__(self, path: str, memo_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
