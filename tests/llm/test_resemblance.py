@@ -1,0 +1,69 @@
+"""The pipeline's near-duplicates against all pairs' Jaccard similarities."""
+
+import numpy as np
+
+import corpus_pipeline
+from tidepanel.llm import resemblance, simhash
+from tests.llm.test_operators import HOSTILE, SCHEMA, brute_fingerprint
+
+
+def brute_kept(rows, share=0.8):
+    sets = {}
+    for d, t in rows:
+        w = t.lower().split()
+        sets[d] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+    label = {d: d for d in sets}
+    order = sorted(sets)
+    for x in order:
+        for y in order:
+            if x < y and len(sets[x] & sets[y]) >= share * len(sets[x] | sets[y]) - 1e-9:
+                low, high = sorted((label[x], label[y]))
+                label = {d: low if k == high else k for d, k in label.items()}
+    return set(label.values())
+
+
+def families(seed=3):
+    rng = np.random.default_rng(seed)
+    rows, k = [], 0
+    for family in range(25):
+        base = [f"w{v}" for v in rng.integers(0, 5000, int(rng.integers(30, 200)))]
+        for _ in range(int(rng.integers(1, 9))):
+            ws = list(base)
+            for at in rng.integers(0, len(ws), int(rng.integers(0, 5))):
+                ws[at] = f"n{k}"
+            rows.append((k, " ".join(ws)))
+            k += 1
+            if family % 3 == 0:  # chains: each copy is made of the last one
+                base = ws
+    return [rows[i] for i in rng.permutation(len(rows))]
+
+
+def test_stage_drops_copies_with_changed_words(spark, sf_dir):
+    ws = [f"w{k}" for k in range(100)]
+    near = [*ws[:50], "changed", *ws[51:]]
+    rows = [(1, " ".join(ws)), (2, " ".join(near)), (3, " ".join(f"v{k}" for k in range(100)))]
+    a, b = (int(brute_fingerprint(t)) for _, t in rows[:2])
+    assert (a ^ b).bit_count() > 2
+    got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    assert {r["doc_id"] for r in got.collect()} == {1, 3}
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    rows = families()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_kept(rows)
+    assert 25 <= len(want) < len(rows)
+    for most in (4096, 2):
+        got = resemblance.near_duplicates(df, most=most).toPandas()
+        assert len(got) == len(rows) and set(got["component"]) == want
+
+
+def test_resemblance_of_hostile_rows(spark):
+    for rows in (HOSTILE, []):
+        df = spark.createDataFrame(rows, SCHEMA)
+        got = resemblance.near_duplicates(df).toPandas()
+        assert len(got) == len(rows)
+        kept = simhash.keep_found(df, resemblance.near_duplicates(df))
+        assert kept.columns == df.columns and kept.count() == len(kept.select("doc_id").distinct().collect())
+        if rows:  # texts without words are one class, tied to the rows without an id
+            assert set(got[got.id.isin([3, 4, 5])]["component"]) == {simhash.NO_ID}

@@ -232,7 +232,12 @@ def keep_first(documents: DataFrame, **options) -> DataFrame:
 
     Rows that repeat that doc_id are reduced to one (the smallest text hash). Columns are kept.
     """
-    found = near_duplicates(documents, **options).where(F.col("id") == F.col("component"))
+    return keep_found(documents, near_duplicates(documents, **options))
+
+
+def keep_found(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """:func:`keep_first` for given components (id, row, component)."""
+    found = found.where(F.col("id") == F.col("component"))
     first = found.groupBy("id").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
     place = {c: f"column_{k}" for k, c in enumerate(documents.columns)}  # no clash with names used here
     whole = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in place.items()])
@@ -244,4 +249,4 @@ def keep_first(documents: DataFrame, **options) -> DataFrame:
     return kept.select(*[F.col(n).alias(c) for c, n in place.items()])
 
 
-__all__ = ["NO_ID", "fingerprint", "keep_first", "near_duplicates"]
+__all__ = ["NO_ID", "fingerprint", "keep_first", "keep_found", "near_duplicates"]
