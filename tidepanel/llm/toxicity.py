@@ -197,22 +197,24 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60)
 
 def fit(
     documents: DataFrame, labels: DataFrame, discount: float = 0.75, chance: float = 10.83, least: int = 3,
-    max_labels: int = 60_000,
+    max_calibration: int = 60_000,
 ) -> Model:
     """Learn from the documents that ``labels`` (doc_id, toxic) marks; null labels and ids are passed over.
 
-    ``max_labels`` bounds the labelled rows that are used, chosen by a hash of the id if there are
-    more: it bounds the label table that every task gets and the model. By a hash of their text
-    three quarters of them are counted, and one calibrates the score. ``chance`` is the least
-    likelihood ratio statistic (10.83: one in a thousand) and ``least`` the least number of texts
-    or contexts of a telling expression.
+    By a hash of their text three quarters of the labelled documents are counted, all of them, and
+    one calibrates the score. ``max_calibration`` bounds only the latter: if there are more labelled
+    ids, that many, chosen by a hash of the id, give the quarter that calibrates. ``chance`` is the
+    least likelihood ratio statistic (10.83: one in a thousand) and ``least`` the least number of
+    texts or contexts of a telling expression.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = min(1.0, max_labels / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * max_labels)
-    labelled = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
+    share = min(1.0, max_calibration / max(1, known.count()))
+    chosen = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30))
+    texts = documents.select("doc_id", "text")
     quarter = F.pmod(F.xxhash64(F.lit(5), F.coalesce("text", F.lit(""))), F.lit(4))
-    counts = write_table(expressions(pair_counts(labelled.where(quarter != 0)), least), "expressions")
+    labelled = texts.where(quarter != 0).join(known, "doc_id").select("text", "toxic")
+    calibrating = texts.where((quarter == 0) & chosen).join(known.where(chosen), "doc_id").select("text", "toxic")
+    counts = write_table(expressions(pair_counts(labelled), least), "expressions")
     table = ratios(counts, discount, chance, least).toPandas()
     h = table["h"].fillna(0).astype("int64").to_numpy().view(np.uint64)
     model = Model(h, table["h"].notna().to_numpy(), table["w"].to_numpy(np.int64).view(np.uint64), table["r"].to_numpy(float))
@@ -223,7 +225,7 @@ def fit(
             x = sent.value.features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), batch.column(1).cast(pa.float64())], ["x", "y"])
 
-    held = labelled.where(quarter == 0).mapInArrow(measure, "x double, y double").toPandas()
+    held = calibrating.mapInArrow(measure, "x double, y double").toPandas()
     if held["y"].nunique() == 2:
         model.weight = logistic(held[["x"]].to_numpy(), held["y"].to_numpy())
     model.memo = {}
