@@ -113,19 +113,10 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modelling.importances(model, FEATURE_SETS["Complet"], ENERGY.entity, spark)
 
 
-def _small_ensembles(target: str, stats: modelling.TargetStats) -> dict:
-    return modelling.estimators(target, stats, trees=20, rounds=10, forest_depth=8)
-
-
 @query()
 def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All six models on all four feature sets; the stored result table read back.
-
-    Ensembles have 20 trees here, so that 24 fits end in minutes; ``forecast`` defaults to 100.
-    """
-    results, fits = modelling.model_grid(
-        _prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, FEATURE_SETS, make=_small_ensembles
-    )
+    """All six models on all four feature sets; the stored result table read back."""
+    results, fits = modelling.model_grid(_prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, FEATURE_SETS)
     folder = new_path(spark, "models")
     forecast.save(results, fits, folder)
     return spark.read.schema(results.schema).option("header", True).csv(f"{folder}/model_results")
@@ -134,11 +125,10 @@ def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ensemble_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 20 inputs of a forest and of boosting on the complete feature set."""
-    chosen = {"Complet": FEATURE_SETS["Complet"]}
     names = ["Random Forest", "Gradient Boosting"]
-    _, fits = modelling.model_grid(_prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, chosen, names, _small_ensembles)
+    _, fits = _grid(spark, sf_dir, names, ["Complet"])
     tables = [
-        modelling.importances(fits["Complet", n].model, chosen["Complet"], ENERGY.entity, spark).withColumn("model", F.lit(n))
+        modelling.importances(fits["Complet", n].model, FEATURE_SETS["Complet"], ENERGY.entity, spark).withColumn("model", F.lit(n))
         for n in names
     ]
     return tables[0].unionByName(tables[1])
