@@ -71,7 +71,7 @@ class UrlModel:
         self.trees, self.suffixes, self.rate = trees, suffixes, rate
 
     def features(self, pages: DataFrame) -> DataFrame:
-        known = lexical(pages).join(F.broadcast(self.suffixes), "suffix", "left")  # bounded by max_rows
+        known = lexical(pages).join(self.suffixes, "suffix", "left")
         return known.withColumns({
             "suffix_rate": F.coalesce("suffix_rate", F.lit(self.rate)), "suffix_seen": F.coalesce("suffix_seen", F.lit(0.0)),
         })
@@ -87,19 +87,20 @@ class UrlModel:
 def train(labelled: DataFrame, max_rows: int = 20_000, rounds: int = 20, depth: int = 4) -> UrlModel:
     """Fit on (url, host, path, label), label 1 for block.
 
-    At most about ``max_rows`` different urls, chosen by a hash of the url, are used: that bounds
-    the training and the suffix table. With one class only, or no row, nothing is blocked.
+    Suffixes are counted over all different urls. The trees are fitted on at most about
+    ``max_rows`` of them, chosen by a hash of the url. With one class only, or no row, nothing is
+    blocked.
     """
-    rows = labelled.where(F.col("url").isNotNull()).groupBy("url", "host", "path").agg(F.max("label").cast("double").alias("label"))
-    total = rows.count()
-    share = min(1.0, max_rows / max(1, total))
-    rows = rows.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = write_table(rows, "urls")
-    sums = rows.agg(F.count("*").alias("n"), F.sum("label").alias("blocked")).first()
-    n, blocked = sums["n"], sums["blocked"] or 0.0
-    rate = blocked / n if n else 0.0
-    by = lexical(rows).groupBy("suffix").agg(F.sum("label").alias("b"), F.count("*").alias("m"))
+    urls = labelled.where(F.col("url").isNotNull()).groupBy("url", "host", "path").agg(F.max("label").cast("double").alias("label"))
+    by = write_table(lexical(urls).groupBy("suffix").agg(F.sum("label").alias("b"), F.count("*").alias("m")), "counts")
+    sums = by.agg(F.sum("m").alias("n"), F.sum("b").alias("blocked")).first()
+    total = sums["n"] or 0
+    rate = (sums["blocked"] or 0.0) / total if total else 0.0
     suffixes = by.select("suffix", ((F.col("b") + 5 * rate) / (F.col("m") + 5)).alias("suffix_rate"), F.log1p("m").alias("suffix_seen"))
+    share = min(1.0, max_rows / max(1, total))
+    rows = write_table(urls.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30))), "urls")
+    own = rows.agg(F.count("*").alias("n"), F.sum("label").alias("blocked")).first()
+    n, blocked = own["n"], own["blocked"] or 0.0
     model = UrlModel(None, write_table(suffixes, "suffixes"), rate)
     if 0 < blocked < n:
         table = write_table(model.features(rows).select(*FEATURES, "label"), "features")
