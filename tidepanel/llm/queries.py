@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, decontaminate, language, lines, packing, quality, simhash, tokenfile, toxicity, urls
+from tidepanel.llm import chat, decontaminate, exact, language, lines, packing, quality, ranking, simhash, structure, tokenfile, toxicity, urls
 from tidepanel.llm.registry import query
 from tidepanel.llm.text import NO_ID, fold, load
 
@@ -179,3 +179,77 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test items of which a document holds 80 % of the 5-word shingles."""
     return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query(
+    r"""
+    WITH bare AS (
+        SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
+        FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+        row_number() OVER w = 1 AS kept, h AS text_sha256
+    FROM bare WINDOW w AS (PARTITION BY h ORDER BY chars DESC, doc_id)
+    """
+)
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents admitted to a cuckoo-filter index; the longest of equal texts stays."""
+    found = exact.exact_duplicates(load(spark, sf_dir, "documents"))
+    known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return found.select(
+        known("id").alias("doc_id"), known("keep_id").alias("keep_id"), "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+@query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+    docs AS (SELECT doc_id, len(ws)::BIGINT AS size, ws FROM split WHERE len(ws) > 0),
+    whole AS (SELECT count(*) AS docs_n, sum(size)::BIGINT AS terms_n FROM docs),
+    asked AS (
+        SELECT item_id, term, count(*) AS k FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+    held AS (
+        SELECT doc_id, size, term, count(*) AS tf FROM (SELECT doc_id, size, unnest(ws) AS term FROM docs)
+        WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, size, term),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * docs_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+        FROM (SELECT term, count(*) AS df FROM held GROUP BY term), whole),
+    scored AS (
+        SELECT item_id, doc_id,
+            sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * size * docs_n) // terms_n)))))::BIGINT AS score
+        FROM asked JOIN held USING (term) JOIN weights USING (term), whole GROUP BY item_id, doc_id),
+    ranked AS (
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scored WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 20
+    """
+)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each test item, by branch and bound over FP-trees."""
+    return ranking.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=20)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The contract's damage by crc32 of ``conv_id:turn``; dropped rows are marked, not removed."""
+    space = F.lit(" ")
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    case = F.crc32(key.cast("binary")) % 20
+    changed = F.when(case == 1, "").when(case == 2, F.translate(text, ".!?", "")).otherwise(text)
+    rows = conversations.select(
+        "conv_id", "turn", F.when(case == 4, "user").otherwise(role).alias("role"), changed.alias("text"), (case == 0).alias("dropped"),
+        F.explode(F.sequence(F.lit(1), F.when(case == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+@query()
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All damaged conversations, repaired at the least cost."""
+    found = structure.repair(damaged(load(spark, sf_dir, "conversations")), absent="dropped")
+    read = structure.digests(found)
+    key = lambda df: df.withColumn("cid", F.coalesce("conv_id", F.lit(NO_ID)))
+    return key(found.summary).join(key(read).drop("conv_id"), "cid").drop("cid")
