@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import decontaminate, language, lines, packing, resemblance, simhash
+from tidepanel.llm import decontaminate, language, lines, packing, simhash
 from tidepanel.llm.queries import language_model, tokenizer_path
 from tidepanel.llm.text import load
 from tidepanel.session import write_table
@@ -26,8 +26,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 in 5-word shingles the smallest doc_id stays."""
-    return simhash.keep_found(docs, resemblance.near_duplicates(docs, size=5, share=0.8))
+    """Of documents whose fingerprints over 3-word shingles are linked at 2 or fewer differing bits the
+    smallest doc_id stays; of the texts that line dedup has emptied, which share a fingerprint, one stays."""
+    return simhash.keep_found(docs, simhash.near_duplicates(docs, shingle=3, bits=2))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-ORACLE_SQL = None  # language models, MinHash bands and token ids are beyond SQL
+ORACLE_SQL = None  # language models, fingerprint links, MinHash and token ids are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
