@@ -308,7 +308,7 @@ def _rise(level: DataFrame) -> DataFrame:
     """Runs of ``FAN`` pieces as one piece each."""
     types = _arrow(_LEVEL)
 
-    def fold(key, table: pa.Table) -> pa.Table:
+    def fold(key, table):
         rows = sorted(table.to_pylist(), key=lambda r: r["seq"])
         costs, places = joined([(r["costs"], r["places"]) for r in rows])
         stats = _merged([[r[c] for c in _STAT_NAMES] for r in rows])
@@ -322,7 +322,7 @@ def _descend(level: DataFrame, chosen: DataFrame) -> DataFrame:
     schema = "cid long, seq long, entry int, exit int"
     types = _arrow(schema)
 
-    def fold(key, table: pa.Table) -> pa.Table:
+    def fold(key, table):
         rows = sorted(table.to_pylist(), key=lambda r: r["seq"])
         _, states = route([(r["costs"], r["places"]) for r in rows], rows[0]["entry"], rows[0]["exit"])
         way = [rows[0]["entry"], *states]
