@@ -35,8 +35,14 @@ HEAD, HEAD_SIZE = "<4sIQ", 16
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8")])
 
 
+def uri_of(path: str) -> str:
+    """Hadoop's names of object stores as pyarrow knows them."""
+    scheme, colon, rest = path.partition("://")
+    return {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + colon + rest
+
+
 def _files(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(uri_of(path))
 
 
 def write_file(path: str, *parts: bytes) -> None:

@@ -1,7 +1,8 @@
-"""Token ids by a public tokenizer file, one encoding per distinct word."""
+"""Token ids by a public tokenizer file, one encoding per distinct word where the file allows it."""
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -9,13 +10,27 @@ import numpy as np
 _open: dict[str, TokenIds] = {}
 
 
+def splits_words(file: dict) -> bool:
+    """True if a tokenizer file lower-cases, and drops white space before its vocabulary sees it."""
+    steps = lambda part, inner: [] if not part else [s for p in part.get(inner, [part]) for s in ([p] if inner not in p else steps(p, inner))]
+    lowers = any(s["type"] == "Lowercase" for s in steps(file.get("normalizer"), "normalizers"))
+    drops = any(
+        s["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+        or (s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] and "\\s" in json.dumps(s["pattern"]))
+        for s in steps(file.get("pre_tokenizer"), "pretokenizers")
+    )
+    marks = file.get("model", {}).get("continuing_subword_prefix") is not None
+    return lowers and drops and not marks
+
+
 class TokenIds:
-    """Encodes texts with a tokenizer that treats white-space-separated words on their own.
+    """Encodes texts, by words if the tokenizer treats white-space-separated words on their own.
 
-    That holds for vocabularies whose pre-tokenizer drops white space (``word_bpe_49k``): the
-    ids of a text are those of its words in order, so each distinct word is encoded once per
-    worker and very long texts need no more memory than their ids. ``memo_words`` bounds the
-    memory of the memo; it is emptied when full, which changes nothing but time.
+    That holds for vocabularies that ignore case and whose pre-tokenizer drops white space
+    (``word_bpe_49k``): the ids of a text are those of its words in order, so each distinct word
+    is encoded once per worker and very long texts need no more memory than their ids.
+    ``memo_words`` bounds the memory of the memo; it is emptied when full, which changes nothing
+    but time. By the file's own normaliser and pre-tokenizer all others encode whole texts.
     """
 
     def __init__(self, path: str, memo_words: int = 1_000_000):
@@ -23,6 +38,7 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = splits_words(json.loads(self.tokenizer.to_str()))
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.memo: dict[bytes, bytes] = {}
         self.memo_words = memo_words
@@ -35,6 +51,9 @@ class TokenIds:
 
     def raw(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``."""
+        if not self.by_words:
+            found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+            return [np.array(f.ids, self.dtype).tobytes() for f in found]
         split = []
         for text in texts:
             data = (text or "").encode()
