@@ -36,8 +36,15 @@ def word_key(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
 
 
+SALTS = 8  # parts into which the pairs of a frequent word are dealt
+BUFFER = 500_000  # pairs that a task reduces at once
+
+
 def pair_counts(labelled: DataFrame) -> DataFrame:
-    """(w, h, t, n): in how many toxic and ordinary texts word w follows word h, as hashes."""
+    """(w, h, t, n): in how many toxic and ordinary texts word w follows word h, as hashes.
+
+    The pairs of a word are dealt to ``SALTS`` places by the word before.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (Counter(), Counter())
@@ -45,10 +52,11 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
         def drain() -> pa.RecordBatch:
             pairs = list(held[0].keys() | held[1].keys())
             keys = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
-            sums = [pa.array([c[p] for p in pairs], pa.int64()) for c in held]
+            sums = [np.fromiter((c[p] for p in pairs), np.int32, len(pairs)) for c in held]
             for c in held:
                 c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys[:, 1]), pa.array(keys[:, 0]), *sums], ["w", "h", "t", "n"])
+            order = np.lexsort((keys[:, 0], keys[:, 1]))  # words together, which shuffles smaller
+            return pa.RecordBatch.from_arrays([pa.array(a[order]) for a in (keys[:, 1], keys[:, 0], *sums)], ["w", "h", "t", "n"])
 
         memo: dict[str, int] = {}
         for batch in rows_of(batches):
@@ -65,8 +73,9 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
                 yield drain()
         yield drain()
 
-    found = labelled.select("text", "toxic").mapInArrow(count, "w long, h long, t long, n long")
-    return found.groupBy("w", "h").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+    found = labelled.select("text", "toxic").mapInArrow(count, "w long, h long, t int, n int")
+    dealt = found.withColumn("salt", F.pmod("h", F.lit(SALTS))).repartition("w", "salt")
+    return dealt.groupBy("w", "salt", "h").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).drop("salt")
 
 
 def expressions(pairs: DataFrame, least: int) -> DataFrame:
@@ -74,22 +83,41 @@ def expressions(pairs: DataFrame, least: int) -> DataFrame:
 
     kind 1: word a, x1..x3 the contexts it follows in toxic, ordinary and any texts; kind 2:
     context a, x1 and x2 its occurrences and x3 and x4 its different words in either class;
-    kind 3: word b after a, in ``least`` texts or more, x1 and x2 as counted.
+    kind 3: word b after a, in ``least`` texts or more, x1 and x2 as counted. Kind 3 is written
+    where it was counted; of the others sums move.
     """
-    seen = lambda c: F.when(F.col(c) > 0, 1).otherwise(0).cast("long")
-    zero = F.lit(0).cast("long")
+    names = ["kind", "a", "b", "x1", "x2", "x3", "x4"]
 
-    def row(kind: int, *columns: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), *[c.alias(n) for c, n in zip(columns, ("a", "b", "x1", "x2", "x3", "x4"))])
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-    pair = row(3, F.col("h"), F.col("w"), F.col("t"), F.col("n"), zero, zero)
-    rows = F.array(
-        row(1, F.col("w"), zero, seen("t"), seen("n"), zero + 1, zero),
-        row(2, F.col("h"), zero, F.col("t"), F.col("n"), seen("t"), seen("n")),
-        F.when(F.col("t") + F.col("n") >= least, pair),
-    )
-    out = pairs.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
-    return out.groupBy("kind", "a", "b").agg(*[F.sum(x).alias(x) for x in ("x1", "x2", "x3", "x4")])
+        def drain() -> Iterator[pa.RecordBatch]:
+            w, h, t, n = (pa.chunked_array([b.column(i) for b in held]).to_numpy() for i in range(4))
+            held.clear()
+            toxic, plain, one = (t > 0).astype(np.int64), (n > 0).astype(np.int64), np.ones(len(t), np.int64)
+
+            def batch(kind: int, a: np.ndarray, b: np.ndarray, *x: np.ndarray) -> pa.RecordBatch:
+                columns = [np.full(len(a), kind, np.int32), a, b, *x, *[np.zeros(len(a), np.int64)] * (4 - len(x))]
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+            for kind, key, cells in ((1, w, (toxic, plain, one)), (2, h, (t, n, toxic, plain))):
+                order = np.argsort(key, kind="stable")
+                first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+                yield batch(kind, key[order][first], np.zeros(len(first), np.int64), *[np.add.reduceat(c[order], first) for c in cells])
+            often = t + n >= least
+            yield batch(3, h[often], w[often], t[often], n[often])
+
+        for batch_ in batches:
+            held.append(batch_)
+            if sum(b.num_rows for b in held) >= BUFFER:
+                yield from drain()
+        if any(b.num_rows for b in held):
+            yield from drain()
+
+    schema = "kind int, a long, b long, x1 long, x2 long, x3 long, x4 long"
+    parts = write_table(pairs.select("w", "h", "t", "n").mapInArrow(reduce, schema), "expression-parts")
+    sums = parts.where("kind < 3").groupBy("kind", "a", "b").agg(*[F.sum(x).alias(x) for x in ("x1", "x2", "x3", "x4")])
+    return write_table(sums, "expressions").unionByName(parts.where("kind = 3"))
 
 
 def differs(t: Column, n: Column, all_t: float, all_n: float) -> Column:
@@ -113,7 +141,7 @@ def ratios(counts: DataFrame, discount: float, chance: float, least: int) -> Dat
     ).first()
     if not sums["x1"] or not sums["x2"]:
         return counts.select(F.col("a").alias("h"), F.col("a").alias("w"), F.lit(0.0).alias("r")).limit(0)
-    both = of(3).agg(F.sum("x1").alias("x1"), F.sum("x2").alias("x2")).first()
+    both = of(2).agg(F.sum("x1").alias("x1"), F.sum("x2").alias("x2")).first()  # all pairs, rare ones too
     total, rest = (sums["x1"], sums["x2"]), [discount * sums[k] / sums[x] for k, x in (("kx1", "x1"), ("kx2", "x2"))]
     even = discount / sums["x3"]  # what the shared model leaves for each word, spread evenly
     shared = (F.col("x3") - discount) / sums["x3"] + even
@@ -148,6 +176,13 @@ class Model:
         self.weight = np.array([-1.0, 0.0])
         self.memo: dict[str, int] = {}
 
+    @classmethod
+    def of(cls, found: DataFrame) -> Model:
+        """From (h, w, r); a null h is told apart in Spark, where it can't turn the column into floats."""
+        table = found.select(F.col("h").isNotNull().alias("known"), F.coalesce("h", F.lit(0).cast("long")).alias("h"), "w", "r").toPandas()
+        h, w = (table[c].to_numpy(np.int64).view(np.uint64) for c in ("h", "w"))
+        return cls(h, table["known"].to_numpy(bool), w, table["r"].to_numpy(float))
+
     @staticmethod
     def pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
         return mix(mix(h, 3) ^ w, 5)
@@ -197,7 +232,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60)
 
 def fit(
     documents: DataFrame, labels: DataFrame, discount: float = 0.75, chance: float = 10.83, least: int = 3,
-    max_calibration: int = 60_000,
+    max_calibration: int = 60_000, max_broadcast: int = 1_000_000,
 ) -> Model:
     """Learn from the documents that ``labels`` (doc_id, toxic) marks; null labels and ids are passed over.
 
@@ -205,19 +240,22 @@ def fit(
     one calibrates the score. ``max_calibration`` bounds only the latter: if there are more labelled
     ids, that many, chosen by a hash of the id, give the quarter that calibrates. ``chance`` is the
     least likelihood ratio statistic (10.83: one in a thousand) and ``least`` the least number of
-    texts or contexts of a telling expression.
+    texts or contexts of a telling expression. Up to ``max_broadcast`` labelled ids are sent to
+    the texts; more are joined by a shuffle. Repeated rows are texts of their own; very long texts
+    are taken whole.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = write_table(known, "labels")
     share = min(1.0, max_calibration / max(1, known.count()))
     chosen = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30))
     texts = documents.select("doc_id", "text")
     quarter = F.pmod(F.xxhash64(F.lit(5), F.coalesce("text", F.lit(""))), F.lit(4))
+    # Labels go to the texts while they are few; else both meet by id.
+    known = F.broadcast(known) if known.count() <= max_broadcast else known
     labelled = texts.where(quarter != 0).join(known, "doc_id").select("text", "toxic")
     calibrating = texts.where((quarter == 0) & chosen).join(known.where(chosen), "doc_id").select("text", "toxic")
-    counts = write_table(expressions(pair_counts(labelled), least), "expressions")
-    table = ratios(counts, discount, chance, least).toPandas()
-    h = table["h"].fillna(0).astype("int64").to_numpy().view(np.uint64)
-    model = Model(h, table["h"].notna().to_numpy(), table["w"].to_numpy(np.int64).view(np.uint64), table["r"].to_numpy(float))
+    counts = expressions(pair_counts(labelled), least)
+    model = Model.of(ratios(counts, discount, chance, least))
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
