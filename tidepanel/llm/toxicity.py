@@ -201,7 +201,7 @@ class Model:
         sizes = [len(ws) for ws in split]
         keys = np.fromiter((memo[w] for ws in split for w in ws), np.uint64, sum(sizes))
         text = np.repeat(np.arange(len(split)), sizes)
-        before = np.concatenate([[START], keys[:-1]]).astype(np.uint64) if len(keys) else keys
+        before = np.concatenate([np.array([START], np.uint64), keys[:-1]]) if len(keys) else keys
         before[np.cumsum([0, *sizes[:-1]])[np.array(sizes) > 0] if sizes else []] = START
         sums = np.zeros(len(split))
         for found in (keys, self.pair(before, keys)):
