@@ -101,7 +101,7 @@ def _ancestors(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def _paths(links: DataFrame, top: int) -> DataFrame:
-    """(t, rank, places): the positions on each chosen path, root first."""
+    """(t, rank, pos, back): the positions on each chosen path and how many steps they lie before its end."""
     ends, jumps = _ancestors(links)
     parents = links.where(F.col("up").isNotNull()).select("t", F.col("up").alias("pos")).distinct()
     best = Window.partitionBy("t").orderBy(F.desc("total"), F.desc("length"), "pos")
@@ -111,17 +111,18 @@ def _paths(links: DataFrame, top: int) -> DataFrame:
         steps = write_table(steps, "paths")
         further = steps.join(jumps[k], ["t", "pos"]).select("t", "rank", F.col("up").alias("pos"), (F.col("back") + (1 << k)).alias("back"))
         steps = steps.unionByName(further)
-    ordered = F.sort_array(F.collect_list(F.struct("back", "pos")), asc=False)
-    return steps.groupBy("t", "rank").agg(F.transform(ordered, lambda x: x["pos"]).alias("places"))
+    return steps
 
 
 def _format(keyed: DataFrame, links: DataFrame, top: int) -> DataFrame:
-    messages = keyed.groupBy("t").agg(
+    """Only messages on chosen paths are gathered: a wide tree costs no more than they do."""
+    pos = F.row_number().over(Window.partitionBy("t").orderBy(*_order()))
+    placed = keyed.select("t", pos.alias("pos"), "tree_id", "role", "text")
+    path = placed.join(_paths(links, top).hint("shuffle_hash"), ["t", "pos"])
+    both = path.groupBy("t", "rank").agg(
         F.min("tree_id").alias("tree_id"),
-        F.sort_array(F.collect_list(F.struct("node", "role", "h", "text"))).alias("all"),
+        F.sort_array(F.collect_list(F.struct("back", "role", "text")), asc=False).alias("turns"),
     )
-    both = messages.join(_paths(links, top).hint("shuffle_hash"), "t")
-    both = bind(both, turns=F.transform("places", lambda p: F.get(F.col("all"), p - 1))).drop("all", "places")
     parts = bind(both, parts=F.transform("turns", lambda m: F.struct(
         F.concat(escape_role(m["role"]), F.lit("\n")).alias("head"), escape(m["text"]).alias("body"), (m["role"] == "assistant").alias("learned"))))
     block = lambda p: F.concat(F.lit(OPEN), p["head"], p["body"], F.lit(CLOSE + "\n"))
