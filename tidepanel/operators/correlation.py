@@ -16,6 +16,7 @@ from pyspark.sql.types import NumericType
 
 from tidepanel.functions import columns as fx
 from tidepanel.functions.tails import tail
+from tidepanel.operators.frames import trailing
 from tidepanel.operators.ordering import (
     BUCKET,
     CHUNK_ROWS,
@@ -426,22 +427,24 @@ def rolling_correlation(
     """Correlation over the last ``window`` rows; null until that many are filled.
 
     Frames stay inside an entity, or run over the whole (entity, timestamp) order with
-    ``across_entities``. Each frame is summed from its own rows, so that levels elsewhere in
-    the table cost no digits. A frame in which a variable never changes gives null.
+    ``across_entities``. A frame in which a variable never changes gives null.
     """
     used = list(dict.fromkeys(c for p in pairs for c in p))
+    groups = {f"{x}__{y}": [f"__v_{x}", f"__v_{y}"] for x, y in pairs}
 
-    def stages(w: Window) -> list[dict[str, Column]]:
-        frame = w.rowsBetween(1 - window, 0)
+    def columns(moments) -> dict[str, Column]:
         result = {}
-        for x, y in pairs:
-            a, b = F.col(f"__v_{x}"), F.col(f"__v_{y}")
-            both = a.isNotNull() & b.isNotNull()
-            a, b = F.when(both, a), F.when(both, b)
-            spread = F.stddev_pop(a).over(frame) * F.stddev_pop(b).over(frame)  # 0 exactly for a constant
-            r = F.try_divide(F.covar_pop(a, b).over(frame), spread)
-            result[f"corr_{x}__{y}"] = F.when(F.count(a).over(frame) == window, r)
-        return [{f"__v_{c}": fx.missing_if_nan(c) for c in used}, result]
+        for name in groups:
+            m = moments(name, 0)
+            spread = F.sqrt(m["sum_0"]) * F.sqrt(m["sum_1"])  # 0 exactly for a constant
+            result[f"corr_{name}"] = F.when(m["n"] == window, F.try_divide(m["cross"], spread))
+        return result
+
+    def stages(w: Window) -> list:
+        return [
+            {f"__v_{c}": fx.missing_if_nan(c) for c in used},
+            lambda wide, part, index: trailing(wide, part, index, window, groups, columns),
+        ]
 
     order = [spec.entity, spec.ts, *spec.tie_break] if across_entities else None
     return with_neighbours(df, spec, window, stages, chunk_rows, table_order=order)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as fx
+from tidepanel.operators.frames import trailing
 from tidepanel.operators.ordering import CHUNK_ROWS, with_neighbours
 from tidepanel.spec import LAGS, ROLLING_WINDOWS, PanelSpec
 
@@ -31,20 +32,20 @@ def _lag_columns(w: Window, target: str, lags: Sequence[int]) -> dict[str, Colum
     return {f"{target}_lag_{k}": F.lag(target, k).over(w) for k in lags}
 
 
-def _rolling_stages(w: Window, target: str, windows: Sequence[int]) -> list[dict[str, Column]]:
-    """Means and deviations of the previous k rows, each frame summed from its own rows.
-
-    Differences of running sums would be cheaper, but one large, infinite or missing value
-    then reaches frames that it isn't in. NaN and infinite values count as missing.
-    """
+def _rolling_stages(target: str, windows: Sequence[int]) -> list:
+    """Means and deviations of the previous k rows. NaN and infinite values count as missing."""
     value = F.col(target).cast("double")
     finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
-    out = {}
-    for k in windows:
-        frame = w.rowsBetween(-k, -1)
-        out[f"{target}_rolling_mean_{k}"] = F.avg("__v").over(frame)
-        out[f"{target}_rolling_std_{k}"] = F.stddev_samp("__v").over(frame)
-    return [{"__v": finite}, out]
+
+    def frame(k: int):
+        def columns(moments) -> dict[str, Column]:
+            m = moments("v", 1)
+            spread = F.when(m["n"] > 1, F.sqrt(m["sum_0"] / (m["n"] - 1)))
+            return {f"{target}_rolling_mean_{k}": m["mean_0"], f"{target}_rolling_std_{k}": spread}
+
+        return lambda wide, part, index: trailing(wide, part, index, k, {"v": ["__v"]}, columns)
+
+    return [{"__v": finite}, *[frame(k) for k in windows]]
 
 
 def with_lags(
@@ -62,7 +63,7 @@ def with_rolling(
 ) -> DataFrame:
     """Mean and sample deviation of up to k previous rows, without the current one."""
     t = target or spec.target
-    return with_neighbours(df, spec, max(windows), lambda w: _rolling_stages(w, t, windows), chunk_rows)
+    return with_neighbours(df, spec, max(windows), lambda w: _rolling_stages(t, windows), chunk_rows)
 
 
 def with_interactions(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -80,14 +81,14 @@ def features(
     df: DataFrame, spec: PanelSpec, lags: Sequence[int] = LAGS,
     windows: Sequence[int] = ROLLING_WINDOWS, noise_seed: int | None = None,
 ) -> DataFrame:
-    """All 23 model inputs; lags and rolling statistics share one shuffle and sort.
+    """All 23 model inputs; lags and rolling statistics share one shuffle.
 
     Rows with any null (the first rows of every entity) drop.
     """
     t = spec.target
     wide = with_neighbours(
         df, spec, max(*lags, *windows),
-        lambda w: [_lag_columns(w, t, lags), *_rolling_stages(w, t, windows)],
+        lambda w: [_lag_columns(w, t, lags), *_rolling_stages(t, windows)],
     )
     wide = with_interactions(with_cyclic(wide, spec), spec)
     temperature = fx.harmonic_temperature("day_of_year", "Hour", noise_seed, [spec.entity, spec.ts, *spec.tie_break])

@@ -14,7 +14,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,12 +25,22 @@ from tidepanel.spec import PanelSpec
 
 BUCKET, SLOT = "_bucket", "_slot"
 _FIRST = (Window.unboundedPreceding, -1)
+BUCKET_BYTES = 64_000_000  # of the tables read, for each bucket of a layout
 CHUNK_ROWS = 50_000  # rows of an entity per window; far more than any halo, few enough to sort in memory
 
 
+def bucket_count(df: DataFrame) -> int:
+    """The session's shuffle partitions, or more where the tables that ``df`` reads are larger than
+    ``BUCKET_BYTES`` for each of them. Sources of unknown size don't count."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [float(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(s for s in sizes if s < 2.0**60)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(read // BUCKET_BYTES))
+
+
 def range_layout(df: DataFrame, keys: Sequence[str | Column], buckets: int | None = None) -> DataFrame:
     """``df`` written in the order of ``keys`` with its partition number and slot."""
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or bucket_count(df)
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     numbered = ordered.withColumn(SLOT, F.monotonically_increasing_id())
@@ -176,15 +187,16 @@ def with_neighbours(
     df: DataFrame,
     spec: PanelSpec,
     halo: int,
-    stages: Callable[[Window], list[dict[str, Column]]],
+    stages: Callable[[Window], list[dict[str, Column] | Callable[[DataFrame, list[str], str], DataFrame]]],
     chunk_rows: int = CHUNK_ROWS,
     table_order: Sequence[str] | None = None,
     place: str | None = None,
 ) -> DataFrame:
     """Add window columns that look back at most ``halo`` rows.
 
-    ``stages`` gets the window and returns the columns to add, step by step; columns whose
-    name starts with two underscores are helpers and dropped at the end.
+    ``stages`` gets the window and returns the columns to add, step by step, or functions of
+    the table, the columns that part its rows and the number of a row among them; columns
+    whose name starts with two underscores are helpers and dropped at the end.
 
     The frames stay inside an entity. An hourly panel uses one window per entity, whose
     size is bounded by the period; at event grain each entity is numbered, cut into chunks
@@ -194,7 +206,8 @@ def with_neighbours(
     """
     order = [spec.ts, *spec.tie_break]
     if table_order is None and spec.hourly:
-        wide, window = df, Window.partitionBy(spec.entity).orderBy(*order)
+        index, part, window = "__index", [spec.entity], Window.partitionBy(spec.entity).orderBy(*order)
+        wide = df
     else:
         index, part = place or "__index", [spec.entity] if table_order is None else []
         if place is not None:
@@ -204,8 +217,15 @@ def with_neighbours(
         else:
             numbered = with_row_index(df, table_order, index)
         wide = with_chunks(numbered, index, halo, chunk_rows)
-        window = Window.partitionBy(*part, "_chunk").orderBy(index)
-    for added in stages(window):
+        part = [*part, "_chunk"]
+        window = Window.partitionBy(*part).orderBy(index)
+    steps = stages(window)
+    if index not in wide.columns and any(map(callable, steps)):
+        wide = wide.withColumn(index, (F.row_number().over(window) - 1).cast("long"))
+    for added in steps:
+        if callable(added):
+            wide = added(wide, part, index)
+            continue
         wide = wide.select("*", *[c.alias(n) for n, c in added.items()])
     if "_copy" in wide.columns:
         wide = wide.where(~F.col("_copy")).drop("_chunk", "_copy")
@@ -319,17 +339,42 @@ def hash_sample(df: DataFrame, keys: Sequence[str], k: int, seed: int = 42) -> D
     return df.orderBy(_draw(keys, seed), *keys).limit(k)
 
 
-def hash_sample_by(
-    df: DataFrame, group: Sequence[str], keys: Sequence[str], k: int, seed: int = 42, salts: int = 64
-) -> DataFrame:
-    """``min(k, n)`` rows of every group; large groups are cut down salt by salt first."""
+def hash_sample_by(df: DataFrame, group: Sequence[str], keys: Sequence[str], k: int, seed: int = 42) -> DataFrame:
+    """``min(k, n)`` rows of every group, those with the smallest hashes of their keys.
+
+    Groups are counted; a threshold on the hash leaves a little over k rows of each, and only
+    these move to be put in order. A group that the threshold leaves with too few rows, which
+    a few in a million do, is taken whole. A null in ``group`` is a value.
+    """
+    at = [f"_g{i}" for i in range(len(group))]
+    named = dict(zip(group, at))
+    sizes = write_table(df.groupBy(*[F.col(g).alias(a) for g, a in named.items()]).agg(F.count("*").alias("_n")), "group-sizes")
+    wanted = k + 5 * math.sqrt(k) + 15
+    # Hashes are hexadecimal texts: twelve digits tell the share of them that lie below.
+    share = F.least(F.lit(wanted) / F.col("_n"), F.lit(1.0))
+    limit = F.when(share < 1, F.lpad(F.hex(F.floor(share * float(16**12)).cast("long")), 12, "0"))
     drawn = df.withColumn("_draw", _draw(keys, seed))
-    salted = drawn.withColumn("_salt", F.pmod(F.xxhash64("_draw"), F.lit(salts)))
-    order = [F.col("_draw"), *[F.col(c) for c in keys]]
-    for part in ([*group, "_salt"], [*group]):
-        w = Window.partitionBy(*part).orderBy(*order)
-        salted = salted.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= k)
-    return salted.drop("_draw", "_salt", "_place")
+    same = lambda other: _all(drawn[g].eqNullSafe(other[a]) for g, a in named.items())
+    bound = sizes.select(*at, F.lower(limit).alias("_limit"))
+    few = drawn.join(bound, same(bound)).where(F.col("_limit").isNull() | (F.col("_draw") < F.col("_limit"))).drop("_limit")
+    few = write_table(few, "candidates")
+    left = few.groupBy(*at).agg(F.count("*").alias("_c"))
+    lacking = sizes.join(left, _all(sizes[a].eqNullSafe(left[a]) for a in at), "left")
+    lacking = lacking.where(F.coalesce("_c", F.lit(0)) < F.least("_n", F.lit(k))).select(*[sizes[a] for a in at])
+    lacking = write_table(lacking, "lacking")
+    if lacking.limit(1).count():
+        enough = few.join(lacking, _all(few[a].eqNullSafe(lacking[a]) for a in at), "left_anti")
+        few = enough.unionByName(drawn.join(lacking, same(lacking)))
+    order = Window.partitionBy(*at).orderBy(F.col("_draw"), *[F.col(c) for c in keys])
+    placed = few.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+    return placed.drop("_draw", "_place", *at)
+
+
+def _all(conditions: Iterable[Column]) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
 
 
 def _draw(keys: Sequence[str], seed: int) -> Column:
