@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import (
@@ -27,6 +29,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.operators import linear
 from tidepanel.session import write_table
 
 EPSILON = 2.220446049250313e-16  # smallest denominator of a relative error
@@ -67,7 +70,7 @@ def estimators(
         "Decision Tree": DecisionTreeRegressor(**io, maxDepth=10, maxBins=64, seed=42),
         "Random Forest": RandomForestRegressor(
             **io, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="all",
-            subsamplingRate=1.0, seed=42, cacheNodeIds=True, maxMemoryInMB=1024,
+            subsamplingRate=1.0, seed=42, cacheNodeIds=True, maxMemoryInMB=512,
         ),
         "Gradient Boosting": GBTRegressor(
             **io, maxIter=rounds, maxDepth=6, stepSize=0.1, seed=42
@@ -153,15 +156,97 @@ def fit(estimator: Estimator, split: DataFrame, n: int, numeric: Sequence[str],
 def score(result: Fit, target: str, model: str, feature_set: str) -> DataFrame:
     """One result row: the metrics on both splits and the training time."""
     by_split = metrics(result.predicted, target, keys=["split"])
-    picks = [
-        F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("train", "test") for m in METRICS
-    ]
-    return by_split.agg(*picks).select(
+    return by_split.agg(*_picks()).select(
         F.lit(model).alias("model"), F.lit(feature_set).alias("feature_set"), "*",
         F.lit(result.seconds).alias("train_time"),
     )
 
 
+PART_BYTES = 4_000_000  # training numbers per partition: a tree fit reads them some hundred times
+_FEATURES = "features"
+
+
+def _picks() -> list[Column]:
+    return [F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("train", "test") for m in METRICS]
+
+
+def linear_fits(
+    split: DataFrame, target: str, category: str, feature_sets: Mapping[str, Sequence[str]], models: Sequence[str] = linear.LINEAR
+) -> dict[tuple[str, str], Fit]:
+    """The linear models on all feature sets from one pass over the training rows.
+
+    A fit's time is its share of that pass and its own solution.
+    """
+    used = list(dict.fromkeys(c for s in feature_sets.values() for c in s))
+    g = linear.gram(split.where(F.col("split") == "train"), used, target, category)
+    fits = {}
+    for set_name, numeric in feature_sets.items():
+        for name in models:
+            start = time.perf_counter()
+            model = linear.solve(g, numeric, name).pipeline(category)
+            seconds = time.perf_counter() - start + g.seconds / (len(feature_sets) * len(models))
+            fits[set_name, name] = Fit(model, seconds, model.transform(split))
+    return fits
+
+
+def linear_scores(split: DataFrame, fits: Mapping[tuple[str, str], Fit], target: str) -> dict[tuple[str, str], list[float]]:
+    """The metrics of all ``linear_fits`` on both splits, in one aggregate."""
+    keys, wide = list(fits), split
+    for i, key in enumerate(keys):
+        wide = fits[key].model.transform(wide).withColumnRenamed("prediction", f"_p{i}")
+    each = F.array(*[F.struct(F.lit(i).alias("fit"), F.col(f"_p{i}").alias("prediction")) for i in range(len(keys))])
+    long = wide.select("split", target, F.inline(each))
+    rows = metrics(long, target, keys=["fit", "split"]).groupBy("fit").agg(*_picks()).collect()  # a row per fit
+    return {keys[r["fit"]]: list(r)[1:] for r in rows}
+
+
+def tree_fits(
+    split: DataFrame, n: int, target: str, category: str, feature_sets: Mapping[str, Sequence[str]],
+    models: Mapping[str, Estimator], threads: int = 8,
+) -> dict[tuple[str, str], tuple[Fit, list[float]]]:
+    """Tree models with their scores. A feature set is prepared and written once for all its models;
+    fits run in ``threads`` at a time, each as jobs of its own, which the scheduler may share out.
+
+    The written rows come in as many partitions as their numbers need, since a fit reads
+    them once per level and tree round.
+    """
+    train = split.where(F.col("split") == "train")
+
+    def prepare(item):
+        set_name, numeric = item
+        start = time.perf_counter()
+        stages = Pipeline(stages=preprocessing(train, n, numeric, category)).fit(train)
+        helpers = ["_numbers", "_scaled", "_standard", "_level", "_hot", "_category"]
+        parts = max(1, -(-n * (len(numeric) + 1) * 8 // PART_BYTES))
+        rows = write_table(stages.transform(split).drop(*helpers).coalesce(parts), "inputs")
+        return set_name, (stages, rows, parts, time.perf_counter() - start)
+
+    def run(job):
+        (set_name, model_name), estimator = job
+        stages, rows, parts, before = prepared[set_name]
+        start = time.perf_counter()
+        model = estimator.fit(rows.where(F.col("split") == "train").coalesce(parts))
+        seconds = time.perf_counter() - start + before
+        predicted = model.transform(rows)
+        found = metrics(predicted, target, keys=["split"]).agg(*_picks()).first()
+        return (set_name, model_name), (Fit(PipelineModel([*stages.stages, model]), seconds, predicted.drop(_FEATURES)), list(found))
+
+    with ThreadPoolExecutor(threads) as pool:
+        # A call on its own per task: each thread takes over the session's local properties.
+        def all_of(fn, items):
+            return dict(f.result() for f in [pool.submit(inheritable_thread_target(split.sparkSession)(fn), i) for i in items])
+
+        prepared = all_of(prepare, feature_sets.items())
+        # The longest first, so that none is left alone at the end.
+        jobs = sorted((((s, m), e) for s in feature_sets for m, e in models.items()), key=lambda j: -_effort(j[1]))
+        return all_of(run, jobs)
+
+
+def _effort(estimator: Estimator) -> int:
+    rounds = estimator.getOrDefault("maxIter") if estimator.hasParam("maxIter") else 1
+    return rounds * estimator.getOrDefault("maxDepth")
+
+
 def model_grid(
     split: DataFrame,
     target: str,
@@ -169,26 +254,30 @@ def model_grid(
     feature_sets: Mapping[str, Sequence[str]],
     models: Sequence[str] | None = None,
     make: Callable[[str, TargetStats], dict[str, Estimator]] = estimators,
+    threads: int = 8,
 ) -> tuple[DataFrame, dict[tuple[str, str], Fit]]:
     """Every model on every feature set; the result table and the fits by (set, model).
 
-    The driver only loops over the grid; each fit and each scoring is a distributed job.
-    The rows are written once and read by all of them.
+    The rows are written once. Linear models come from one table of cross-products, trees from
+    concurrent fits on vectors written once per feature set.
     """
     split = write_table(split, "training")
     stats = TargetStats.of(split.where(F.col("split") == "train"), target)
     chosen = {k: v for k, v in make(target, stats).items() if models is None or k in models}
-    fits: dict[tuple[str, str], Fit] = {}
-    records = []
-    for set_name, numeric in feature_sets.items():
-        for model_name, estimator in chosen.items():
-            result = fit(estimator, split, stats.n, numeric, category)
-            fits[set_name, model_name] = result
-            records.append(tuple(score(result, target, model_name, set_name).first()))
+    straight = [m for m in chosen if m in linear.LINEAR]
+    fits, scores = {}, {}
+    if straight:
+        fits |= linear_fits(split, target, category, feature_sets, straight)
+        scores |= linear_scores(split, fits, target)
+    trees = {k: v for k, v in chosen.items() if k not in straight}
+    for key, (result, found) in (tree_fits(split, stats.n, target, category, feature_sets, trees, threads) if trees else {}).items():
+        fits[key], scores[key] = result, found
+    keys = [(s, m) for s in feature_sets for m in chosen]
+    records = [(m, s, *scores[s, m], fits[s, m].seconds) for s, m in keys]
     columns = "model string, feature_set string, " + ", ".join(
         f"{s}_{m} double" for s in ("train", "test") for m in METRICS
     ) + ", train_time double"
-    return split.sparkSession.createDataFrame(records, columns), fits
+    return split.sparkSession.createDataFrame(records, columns), {k: fits[k] for k in keys}
 
 
 def best_model(results: DataFrame) -> DataFrame:

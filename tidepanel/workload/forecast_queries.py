@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.operators import modelling, profiles, serial
+from tidepanel.operators import linear, modelling, profiles, serial
 from tidepanel.operators.ordering import chronological_split, with_row_index
 from tidepanel.plans import forecast
 from tidepanel.session import new_path, write_table
@@ -17,7 +17,7 @@ from tidepanel.workload import tables as tb
 from tidepanel.workload.clean_queries import FEATURES_SQL
 from tidepanel.workload.registry import query, tidy
 
-LINEAR = ["Linear Regression", "Ridge Regression", "Lasso Regression"]
+LINEAR = list(linear.LINEAR)
 
 # --- models on one feature over all orders, where closed forms exist ---------------------
 
@@ -39,8 +39,7 @@ def _metrics_sql(keys: str, table: str) -> str:
 
 
 def _tidy_metrics(found: DataFrame, keys: list[str]) -> DataFrame:
-    coarse = tidy(found.select(*keys, "n", "rmse", "mae"), 2)
-    return coarse.join(tidy(found.select(*keys, "r2", "mape"), 6), keys)
+    return tidy(found.select(*keys, "n", "rmse", "mae", "r2", "mape"), rmse=2, mae=2)
 
 
 _METRIC_COLUMNS = f"n, {s.r('rmse', 2)} AS rmse, {s.r('mae', 2)} AS mae, {s.r('r2')} AS r2, {s.r('mape')} AS mape"
@@ -61,16 +60,67 @@ def _orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linear_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OLS, ridge and lasso pipelines over all orders, against their closed forms."""
     split = write_table(_orders_split(spark, sf_dir), "training")
-    stats = modelling.TargetStats.of(split.where("split = 'train'"), "y")
+    fits = modelling.linear_fits(split, "y", "kind", {"x": ["x"]})
     out = None
-    for name in LINEAR:
-        estimator = modelling.estimators("y", stats)[name]
-        predicted = modelling.fit(estimator, split, stats.n, ["x"], "kind").predicted
-        rows = modelling.metrics(predicted, "y", keys=["split"]).select(F.lit(name).alias("model"), "*")
+    for _, name in fits:
+        rows = modelling.metrics(fits["x", name].predicted, "y", keys=["split"]).select(F.lit(name).alias("model"), "*")
         out = rows if out is None else out.unionByName(rows)
     return _tidy_metrics(out, ["model", "split"])
 
 
+@query(
+    """WITH o AS (SELECT o_orderkey, o_orderdate, o_totalprice AS y, CAST(o_custkey AS DOUBLE) AS x1,
+  CAST(month(o_orderdate) AS DOUBLE) AS x2, o_orderpriority AS g FROM orders),
+sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 < floor(0.8 * (SELECT count(*) FROM o))
+  THEN 'train' ELSE 'test' END AS split FROM o),
+mg AS (SELECT g, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM sp WHERE split = 'train' GROUP BY 1),
+c AS (SELECT sum((x1 - m1) * (x1 - m1)) AS s11, sum((x1 - m1) * (x2 - m2)) AS s12, sum((x2 - m2) * (x2 - m2)) AS s22,
+  sum((x1 - m1) * (y - my)) AS t1, sum((x2 - m2) * (y - my)) AS t2 FROM sp JOIN mg USING (g) WHERE split = 'train'),
+b AS (SELECT (t1 * s22 - t2 * s12) / (s11 * s22 - s12 * s12) AS b1, (t2 * s11 - t1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c),
+pr AS (SELECT split, y, my + b1 * (x1 - m1) + b2 * (x2 - m2) AS p FROM sp JOIN mg USING (g), b), """
+    f"m AS ({_metrics_sql('split', 'pr')}) SELECT split, {_METRIC_COLUMNS} FROM m"
+)
+def linear_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares on two numbers and a category of five levels, over all orders."""
+    orders = tb.load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_totalprice").alias("y"), F.col("o_custkey").cast("double").alias("x1"),
+        F.month("o_orderdate").cast("double").alias("x2"), F.col("o_orderpriority").alias("g"),
+    )
+    split = write_table(chronological_split(orders, ["o_orderdate", "o_orderkey"]), "training")
+    fits = modelling.linear_fits(split, "y", "g", {"both": ["x1", "x2"]}, [linear.ORDINARY])
+    return _tidy_metrics(modelling.metrics(fits["both", linear.ORDINARY].predicted, "y", keys=["split"]), ["split"])
+
+
+# A target that two splits explain: trees of any kind must find them and hit every row.
+_STEP = "CASE WHEN month(o_orderdate) > 6 THEN 100 ELSE 0 END + CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 10 ELSE 0 END"
+TREES = ["Decision Tree", "Random Forest", "Gradient Boosting"]
+
+
+@query(
+    f"WITH o AS (SELECT CAST(month(o_orderdate) AS INTEGER) AS month, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, "
+    f"CAST({_STEP} AS DOUBLE) AS y FROM orders) SELECT model, month, priority, count(*) AS n, min(y) AS lowest, max(y) AS highest "
+    f"FROM o, (VALUES {', '.join(f'({chr(39)}{m}{chr(39)})' for m in TREES)}) t(model) GROUP BY 1, 2, 3"
+)
+def tree_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree, a forest and boosting on a step function of two columns of all orders: least and
+    largest prediction by cell."""
+    orders = tb.load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.month("o_orderdate").alias("month"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        F.lit("all").alias("kind"), F.expr(f"CAST({_STEP} AS DOUBLE)").alias("y"),
+    )
+    split = write_table(chronological_split(orders, ["o_orderdate", "o_orderkey"]), "training")
+    stats = modelling.TargetStats.of(split.where("split = 'train'"), "y")
+    trees = {k: v for k, v in modelling.estimators("y", stats).items() if k in TREES}
+    fits = modelling.tree_fits(split, stats.n, "y", "kind", {"steps": ["month", "priority"]}, trees)
+    out = None
+    for (_, name), (result, _) in fits.items():
+        cells = result.predicted.groupBy("month", "priority").agg(
+            F.count("*").alias("n"), F.min("prediction").alias("lowest"), F.max("prediction").alias("highest"))
+        cells = cells.select(F.lit(name).alias("model"), "*")
+        out = cells if out is None else out.unionByName(cells)
+    return tidy(out, 4)
+
+
 # --- the model grid on the cleaned panel -------------------------------------------------
 
 
@@ -97,12 +147,14 @@ def model_grid_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grid(spark, sf_dir, ["Random Forest"], ["Basique"])[0]
+    """A forest on all four feature sets."""
+    return _grid(spark, sf_dir, ["Random Forest"], list(FEATURE_SETS))[0]
 
 
 @query()
 def gradient_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grid(spark, sf_dir, ["Gradient Boosting"], ["Basique"])[0]
+    """Boosted trees on all four feature sets."""
+    return _grid(spark, sf_dir, ["Gradient Boosting"], list(FEATURE_SETS))[0]
 
 
 @query()
@@ -116,7 +168,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All six models on all four feature sets; the stored result table read back."""
-    results, fits = modelling.model_grid(_prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, FEATURE_SETS)
+    results, fits = _whole_grid(spark, sf_dir)
     folder = new_path(spark, "models")
     forecast.save(results, fits, folder)
     return spark.read.schema(results.schema).option("header", True).csv(f"{folder}/model_results")
@@ -134,16 +186,20 @@ def ensemble_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].unionByName(tables[1])
 
 
+def _whole_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    return modelling.model_grid(_prepared(spark, sf_dir), ENERGY.target, ENERGY.entity, FEATURE_SETS)
+
+
 @query()
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best of the linear models on all feature sets by test R²."""
-    return modelling.best_model(_grid(spark, sf_dir, LINEAR, list(FEATURE_SETS))[0])
+    """The best of all 24 fits by test R²."""
+    return modelling.best_model(_whole_grid(spark, sf_dir)[0])
 
 
 @query()
 def best_model_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error summary per entity of the best linear model's own test rows."""
-    results, fits = _grid(spark, sf_dir, LINEAR, list(FEATURE_SETS))
+    """Error summary per entity of the best of all fits on its own test rows."""
+    results, fits = _whole_grid(spark, sf_dir)
     return forecast.diagnostics(fits[forecast.best_fit(results, fits)].predicted)["by_entity"]
 
 
@@ -213,7 +269,7 @@ def error_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def normal_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = modelling.normal_fit(_scored(spark, sf_dir))
-    return tidy(found.drop("density")).join(tidy(found.select("point", "density"), 9), "point")
+    return tidy(found, density=9)
 
 
 @query(
