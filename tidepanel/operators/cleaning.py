@@ -68,6 +68,24 @@ def granularity(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return counts.orderBy(F.desc("n"), "gap_seconds").limit(1)
 
 
+def regularise(df: DataFrame, spec: PanelSpec, seconds: int = 3600, chunk: int = 1000) -> DataFrame:
+    """A row for each step between an entity's first and last time, with nulls where it had none.
+
+    What goes by position, such as interpolation and lags, then goes by time. Rows between the steps
+    and rows without an entity or a time stay; several rows of one time stay too. An entity's
+    steps are made ``chunk`` at a time, so that a long period is no long array.
+    """
+    e, t = spec.entity, spec.ts
+    ends = df.where(F.col(e).isNotNull() & F.col(t).isNotNull()).groupBy(e).agg(F.min(t).alias("_a"), F.max(t).alias("_b"))
+    length = (F.col("_b") - F.col("_a")).cast("interval second").cast("decimal(20,6)").cast("double")
+    zero = F.lit(0).cast("long")
+    cut = ends.select(e, "_a", F.floor(length / seconds).alias("_n")).select("*", F.explode(F.sequence(zero, F.col("_n"), F.lit(chunk).cast("long"))).alias("_k"))
+    step = F.explode(F.sequence("_k", F.least(F.col("_k") + chunk - 1, F.col("_n")))).alias("_k")
+    later = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_k") * seconds).cast("decimal(18,6)"))
+    grid = cut.select(e, "_a", step).select(e, (F.col("_a") + later).alias(t))
+    return grid.join(df, [e, t], "full").select(df.columns)
+
+
 def hourly_rollup(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Half-hourly rows to hours: energy = half the sum, rates averaged, first label kept.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,7 +164,7 @@ def violin_summary(df: DataFrame, group: str, measure: str, k: int = 5, points:
     """Density curves of the k groups with the largest mean, on ``points`` grid points.
 
     Gaussian kernel, Scott bandwidth. The grid is evaluated on distinct values with their
-    counts; each task sums all grid points of a group in one row, so no row is multiplied.
+    counts, in Arrow batches: a task hands on its sums, a row per group and grid point.
     """
     chosen = rows_of_top(df, group, measure, k)
     ladder = value_ladder(chosen, [group], measure)
@@ -181,24 +183,51 @@ def violin_summary(df: DataFrame, group: str, measure: str, k: int = 5, points:
         .withColumn("h", F.sqrt(F.try_divide("_ss", F.col("n") - 1)) * F.pow("n", F.lit(-0.2)))
         .join(F.broadcast(middle), group)
     )
+    spread = write_table(spread, "violins")  # k rows, used twice
     step = (F.col("hi") - F.col("lo")) / F.lit(points - 1)
     norm = F.col("n") * F.col("h") * F.sqrt(2 * F.pi())
 
-    def kernels(point: int) -> Column:
-        z = F.try_divide(F.col("lo") + point * step - v, F.col("h"))
-        return F.sum(F.exp(-0.5 * z**2) * n)
-
-    sums = ladder.join(F.broadcast(spread), group).groupBy(group, "n", "mean", "median", "lo", "hi", "h").agg(
-        F.array(*[kernels(p) for p in range(points)]).alias("_sums")
-    )
+    fields = [group, "n", "mean", "median", "lo", "hi", "h"]
+    given = ladder.join(F.broadcast(spread), group).select(group, F.col(measure).cast("double").alias("v"), F.col("n_at").cast("double"), "lo", "hi", "h")
+    kind = df.schema[group].dataType.simpleString()
+    parts = given.mapInArrow(_kernel_sums(points), f"{NAME} {kind}, point int, s double")
+    totals = parts.groupBy(NAME, "point").agg(F.sum("s").alias("_sum"))
+    named = spread.select(F.col(group).alias(NAME), *[c for c in fields if c != group])
+    sums = totals.join(F.broadcast(named), NAME).withColumnRenamed(NAME, group)
     return (
-        sums.select("*", F.posexplode("_sums").alias("point", "_sum"))
-        .withColumn("x", F.col("lo") + F.col("point") * step)
+        sums.withColumn("x", F.col("lo") + F.col("point") * step)
         .withColumn("density", F.try_divide("_sum", norm))
         .select(group, "n", "mean", "median", "lo", "hi", "point", "x", "density")
     )
 
 
+NAME = "_group"
+
+
+def _kernel_sums(points: int):
+    """Sums of the kernels of a task's values (group, v, n, lo, hi, h) at every grid point."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, kind = {}, None
+        for batch in batches:
+            codes, kind = batch.column(0).dictionary_encode(), batch.column(0).type
+            v, n, lo, hi, h = (c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[1:])
+            for i, name in enumerate(codes.dictionary.to_pylist()):
+                own = np.flatnonzero(codes.indices.to_numpy() == i)
+                one = own[0]
+                grid = lo[one] + np.arange(points) * ((hi[one] - lo[one]) / (points - 1))
+                here = sums.setdefault(name, np.zeros(points))
+                for at in range(0, len(own), 2048):  # a block of values by grid points in memory
+                    part = own[at : at + 2048]
+                    with np.errstate(divide="ignore", invalid="ignore"):  # no spread, no density
+                        here += np.exp(-0.5 * ((grid[:, None] - v[part]) / h[one]) ** 2) @ n[part]
+        for name, total in sums.items():
+            columns = [pa.array([name] * points, kind), pa.array(range(points), pa.int32()), pa.array(total)]
+            yield pa.RecordBatch.from_arrays(columns, [NAME, "point", "s"])
+
+    return run
+
+
 def histogram(df: DataFrame, measure: str, bins: int = 50) -> DataFrame:
     """Equal-width bins over the range of a measure; the last bin is closed.
 
@@ -224,10 +253,10 @@ def histogram(df: DataFrame, measure: str, bins: int = 50) -> DataFrame:
     )
 
 
-def first_rows_of_mode(df: DataFrame, entity: str, ts: str, n: int = 168) -> DataFrame:
-    """The first n rows, in time, of the most frequent entity."""
+def first_rows_of_mode(df: DataFrame, entity: str, ts: str, n: int = 168, tie_break: Sequence[str] = ()) -> DataFrame:
+    """The first n rows, in time, of the most frequent entity; ``tie_break`` orders rows of one time."""
     mode = most_frequent(df, entity).select(entity)
-    return df.join(F.broadcast(mode), entity, "left_semi").orderBy(ts).limit(n)
+    return df.join(F.broadcast(mode), entity, "left_semi").orderBy(ts, *tie_break).limit(n)
 
 
 def percent_of_total(df: DataFrame, value: str, name: str = "percent") -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tidepanel.functions import columns as fx
 from tidepanel.operators.ordering import hash_sample
@@ -145,7 +146,12 @@ def column_profile(df: DataFrame, approximate: float | None = None) -> DataFrame
                 for c, t in types.items()
             ],
         )
-    text = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    def cell(f) -> Column:
+        # 0.0 and -0.0 are one value, but two texts.
+        value = F.col(f"`{f.name}`")
+        return (value + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (DoubleType, FloatType)) else value).cast("string")
+
+    text = df.select([cell(f).alias(f.name) for f in df.schema.fields])
     cells = text.unpivot([], list(types), "column", "value")
     per_value = cells.groupBy("column", "value").agg(F.count("*").alias("n"))
     typed = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel.functions import columns as fx
 from tidepanel.functions.tails import tail
-from tidepanel.operators.ordering import CHUNK_ROWS, with_neighbours, with_place
+from tidepanel.operators.ordering import CHUNK_ROWS, value_ladder, with_neighbours, with_place
 from tidepanel.spec import PanelSpec
 
 
@@ -82,7 +83,8 @@ def granger(
 
     The normal equations of every lag follow from the sums of lagged products (about
     4 x max_lag numbers per entity, one aggregate) once the few products at both ends of
-    the series are taken off. Only those sums and the 2 x max_lag end rows reach Python.
+    the series are taken off. Only those sums and the 2 x max_lag end rows reach Python, where
+    one factorisation per lag serves all entities of a batch.
     """
     entity = spec.entity
     rows = df.where(F.col(effect).isNotNull() & F.col(cause).isNotNull())
@@ -131,47 +133,60 @@ def with_granger_p(found: DataFrame) -> DataFrame:
 
 
 def _solver(max_lag: int):
+    """Entities in Arrow batches; all entities of a batch are solved together, lag by lag."""
+
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                n = int(row.n)
-                sums = np.asarray(row.products, dtype=float).reshape(2, 2, max_lag + 1)
-                ends = np.zeros((2, 2 * max_lag + 1))
+            if not len(batch):
+                continue
+            n = batch["n"].to_numpy(np.int64)
+            sums = np.stack(batch["products"].to_numpy()).astype(float).reshape(-1, 2, 2, max_lag + 1)
+            totals = np.stack(batch["totals"].to_numpy()).astype(float)
+            ends = np.zeros((len(batch), 2, 2 * max_lag + 1))
+            for e, row in enumerate(batch.itertuples(index=False)):
                 place = np.asarray(row.place, dtype=int)
                 for k, series in enumerate((row.y, row.x)):
                     values = np.asarray(series, dtype=float)
-                    ends[k, np.where(place < max_lag, place, place - n)] = values
+                    ends[e, k, np.where(place < max_lag, place, place - n[e])] = values
                     # A series shorter than both ends fills them from the same rows.
-                    late = place >= n - max_lag
-                    ends[k, place[late] - n] = values[late]
-                edges = _edge_sums(ends, max_lag)
-                for p in range(1, max_lag + 1):
-                    dof = n - 3 * p - 1
-                    if dof > 0:
-                        f = _f_statistic(sums, np.asarray(row.totals, dtype=float), ends, edges, n, p, dof)
-                        out.append((row.entity, p, n - p, f, p, dof))
-            yield pd.DataFrame(out, columns=["entity", "lag", "n", "f", "df_num", "df_den"])
+                    late = place >= n[e] - max_lag
+                    ends[e, k, place[late] - n[e]] = values[late]
+            edges = _edge_sums(ends, max_lag)
+            out = []
+            for p in range(1, max_lag + 1):
+                dof = n - 3 * p - 1
+                own = np.flatnonzero(dof > 0)
+                if len(own):
+                    f = _f_statistics(sums[own], totals[own], ends[own], [x[own] for x in edges], n[own], p, dof[own])
+                    out.append(pd.DataFrame({
+                        "entity": batch["entity"].to_numpy()[own], "lag": p, "n": n[own] - p, "f": f, "df_num": p, "df_den": dof[own],
+                    }))
+            yield pd.concat(out) if out else pd.DataFrame(columns=["entity", "lag", "n", "f", "df_num", "df_den"])
 
     return solve
 
 
 def _edge_sums(ends: np.ndarray, max_lag: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of lagged products over the first m rows and over the last m, by (series, series, lag, m)."""
-    first, last = ends[:, :max_lag], ends[:, ::-1][:, :max_lag]  # last row first
-    head, back = np.zeros((2, 2, max_lag + 1, max_lag + 1)), np.zeros((2, 2, max_lag + 1, max_lag + 1))
+    """Sums of lagged products over the first m rows and over the last m, by (entity, series, series, lag, m)."""
+    first, last = ends[:, :, :max_lag], ends[:, :, ::-1][:, :, :max_lag]  # last row first
+    head, back = (np.zeros((len(ends), 2, 2, max_lag + 1, max_lag + 1)) for _ in range(2))
     for s in range(2):
         for u in range(2):
             for h in range(max_lag):
-                head[s, u, h, h + 1 :] = np.cumsum(first[s, h:] * first[u, : max_lag - h])
-                back[s, u, h, 1 : max_lag - h + 1] = np.cumsum(last[s, : max_lag - h] * last[u, h:])
+                head[:, s, u, h, h + 1 :] = np.cumsum(first[:, s, h:] * first[:, u, : max_lag - h], axis=1)
+                back[:, s, u, h, 1 : max_lag - h + 1] = np.cumsum(last[:, s, : max_lag - h] * last[:, u, h:], axis=1)
     return head, back
 
 
-def _f_statistic(
-    sums: np.ndarray, totals: np.ndarray, ends: np.ndarray, edges: tuple[np.ndarray, np.ndarray], n: int, p: int, dof: int
-) -> float:
-    """F of lag p from full lag products, less the products outside rows p+1..n."""
+def _f_statistics(
+    sums: np.ndarray, totals: np.ndarray, ends: np.ndarray, edges: Sequence[np.ndarray], n: np.ndarray, p: int, dof: np.ndarray
+) -> np.ndarray:
+    """F of lag p per entity from full lag products, less the products outside rows p+1..n.
+
+    The cross-products are put in the order own lags, intercept, the cause's lags, effect. The last
+    row of their Cholesky factor then holds what each regressor explains of the effect when it
+    joins those before it, and what none explains: both residuals come from one factor.
+    """
     # Regressors (series, shift): effect first, its lags, the cause's lags, intercept.
     series = np.array([0] * (p + 1) + [1] * p)
     shift = np.array([*range(p + 1), *range(1, p + 1)])
@@ -180,23 +195,40 @@ def _f_statistic(
     s, u = np.meshgrid(series, series, indexing="ij")
     swap = i > j
     i, j, s, u = (np.where(swap, b, a) for a, b in ((i, j), (j, i), (s, u), (u, s)))
-    gram = np.zeros((size, size))
-    gram[:-1, :-1] = sums[s, u, j - i] - edges[0][s, u, j - i, p - i] - edges[1][s, u, j - i, i]
+    gram = np.zeros((len(n), size, size))
+    gram[:, :-1, :-1] = sums[:, s, u, j - i] - edges[0][:, s, u, j - i, p - i] - edges[1][:, s, u, j - i, i]
     for r, (own, k) in enumerate(zip(series, shift)):
-        late = ends[own, -k:].sum() if k else 0.0
-        gram[r, -1] = gram[-1, r] = totals[own] - ends[own, : p - k].sum() - late
-    gram[-1, -1] = n - p
-
-    def residual(columns: list[int]) -> float:
-        g, b = gram[np.ix_(columns, columns)], gram[columns, 0]
-        scale = np.sqrt(np.maximum(np.diag(g), 1e-300))
-        beta = np.linalg.lstsq(g / np.outer(scale, scale), b / scale, rcond=1e-13)[0] / scale
-        return gram[0, 0] - 2 * beta @ b + beta @ g @ beta
-
-    own = [*range(1, p + 1), size - 1]
-    both = [*range(1, size)]
-    small, full = residual(own), residual(both)
-    return (small - full) / p / (full / dof) if full > 0 else float("nan")
+        late = ends[:, own, -k:].sum(axis=1) if k else 0.0
+        gram[:, r, -1] = gram[:, -1, r] = totals[:, own] - ends[:, own, : p - k].sum(axis=1) - late
+    gram[:, -1, -1] = n - p
+    order = [*range(1, p + 1), size - 1, *range(p + 1, size - 1), 0]
+    gram = gram[:, order][:, :, order]
+    scale = np.sqrt(np.maximum(np.diagonal(gram, axis1=1, axis2=2), 1e-300))
+    unit = gram / (scale[:, :, None] * scale[:, None, :])
+    try:
+        factor = np.linalg.cholesky(unit)
+        last = factor[:, -1].copy()
+        # A pivot this small is what rounding leaves of a regressor that the others determine.
+        weak = (np.diagonal(factor, axis1=1, axis2=2) ** 2).min(axis=1) < 1e-11
+    except np.linalg.LinAlgError:
+        last, weak = np.zeros((len(n), size)), np.ones(len(n), bool)
+    full, gained = last[:, -1] ** 2, (last[:, p + 1 : -1] ** 2).sum(axis=1)
+    for e in np.flatnonzero(weak):
+        full[e], gained[e] = _dependent(unit[e], p)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(full > 0, gained / p / (full / dof), np.nan)
+
+
+def _dependent(unit: np.ndarray, p: int) -> tuple[float, float]:
+    """The residual of all regressors and what the cause adds, where some determine others."""
+
+    def residual(columns: int) -> float:
+        g, b = unit[:columns, :columns], unit[:columns, -1]
+        beta = np.linalg.lstsq(g, b, rcond=1e-13)[0]
+        return unit[-1, -1] - 2 * beta @ b + beta @ g @ beta
+
+    small, full = residual(p + 1), residual(len(unit) - 1)
+    return full, small - full
 
 
 # --- normality ------------------------------------------------------------------------
@@ -236,3 +268,36 @@ def normality(df: DataFrame, value: str, keys: Sequence[str] = (), alpha: float
     k2 = F.when((n >= 20) & F.col("skewness").isNotNull() & ~F.isnan("skewness"), skew_score**2 + kurtosis_score**2)
     found = found.withColumn("k2", k2).withColumn("k2_p", F.exp(-F.col("k2") / 2))
     return found.withColumn("normal", F.coalesce("k2_p", F.nanvl("jb_p", F.lit(None).cast("double"))) > alpha)
+
+
+RANK_STEP = 4096  # ranks of one value that a row is multiplied by at once
+
+
+def shapiro_francia(df: DataFrame, value: str, keys: Sequence[str] = (), alpha: float = 0.05) -> DataFrame:
+    """Shapiro-Francia W' over all rows per key, with Royston's normal score of log(1 - W') and p.
+
+    W' is the squared correlation of the ordered values with the expected normal scores of their
+    ranks. Ranks come from the ladder of distinct values, so no sort has to hold a key; tied rows
+    take all their ranks, in pieces of ``RANK_STEP``. Missing and NaN values are left out; below 5
+    rows and for constant values everything but ``n`` is null. Royston fitted his score on 5 to 5000
+    rows; beyond, its formula is carried on.
+    """
+    rows = df.select(*keys, fx.missing_if_nan(value).alias("v"))
+    ladder = value_ladder(rows, list(keys), "v")
+    piece = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_at") - 1) / RANK_STEP)))
+    cut = ladder.select(*keys, "v", "n_at", "below", F.col("total").alias("n"), piece.alias("piece"))
+    first = F.col("piece") * RANK_STEP + 1
+    ranks = F.sequence(F.col("below") + first, F.col("below") + F.least(first + RANK_STEP - 1, F.col("n_at")))
+    placed = cut.select(*keys, "v", "n", F.explode(ranks).alias("rank"))
+    score = fx.normal_quantile((F.col("rank") - 0.375) / (F.col("n") + 0.25))
+    scored = placed.withColumn("m", score)
+    spread = F.stddev_pop("v") * F.stddev_pop("m")  # 0 for a constant
+    found = scored.groupBy(*keys, "n").agg(F.covar_pop("v", "m").alias("c"), spread.alias("s"), (F.min("v") < F.max("v")).alias("varies"))
+    r = F.when(F.col("varies") & (F.col("n") >= 5), F.try_divide("c", "s"))
+    u = F.log(F.col("n").cast("double"))
+    mean, spread = -1.2725 + 1.0521 * (F.log(u) - u), 1.0308 - 0.26758 * (F.log(u) + 2 / u)  # Royston 1993
+    z = (F.log(1 - F.least(r * r, F.lit(1 - 1e-16))) - mean) / spread
+    found = found.select(*keys, "n", (r * r).alias("w"), z.alias("z"))
+    two = tail("normal_two_sided", "z")
+    p = F.when(F.col("z") >= 0, two / 2).otherwise(1 - two / 2)
+    return found.withColumn("p", p).withColumn("normal", F.col("p") > alpha)

@@ -15,11 +15,13 @@ def typed(raw: DataFrame, spec: PanelSpec = ENERGY) -> DataFrame:
     return cleaning.assemble_timestamp(cleaning.cast_numbers(cleaning.rename_and_drop(raw, spec), spec), spec)
 
 
-def clean(raw: DataFrame, spec: PanelSpec = ENERGY, halves: bool | None = None) -> DataFrame:
+def clean(raw: DataFrame, spec: PanelSpec = ENERGY, halves: bool | None = None, regular: bool = False) -> DataFrame:
     """The cleaned panel.
 
     Whether the source is half-hourly is read from the data (one small job) unless
-    ``halves`` says so; only then are rows rolled up to hours.
+    ``halves`` says so; only then are rows rolled up to hours. With ``regular`` the hours that an
+    entity lacks between its first and last are added before gaps are filled; the rows are then
+    taken as hourly.
     """
     rows = typed(raw, spec)
     if halves is None:
@@ -27,4 +29,6 @@ def clean(raw: DataFrame, spec: PanelSpec = ENERGY, halves: bool | None = None)
         halves = found is not None and found["gap_seconds"] == HALF_HOUR
     if halves:
         rows = cleaning.hourly_rollup(rows, spec)
-    return cleaning.derive(cleaning.fill_gaps(rows, spec.at(hourly=halves or spec.hourly)), spec)
+    if regular:
+        rows = cleaning.regularise(rows, spec)
+    return cleaning.derive(cleaning.fill_gaps(rows, spec.at(hourly=halves or regular or spec.hourly)), spec)

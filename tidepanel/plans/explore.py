@@ -36,7 +36,7 @@ def explore(panel: DataFrame, spec: PanelSpec = ENERGY) -> dict[str, DataFrame]:
         "overall_mix": profiles.overall_mix(panel, [*MIX, "Bioenergies_MW"]),
         "balance": profiles.balance(panel, e, "Balance_MW"),
         "share_histogram": profiles.histogram(panel, "Part_renouvelable", 50),
-        "first_week": profiles.first_rows_of_mode(panel, e, t, 168),
+        "first_week": profiles.first_rows_of_mode(panel, e, t, 168, spec.tie_break),
     }
     out |= {f"box_{v}": profiles.box_summary(panel, e, v) for v in KEY_VARIABLES}
     out |= {f"violin_{v}": profiles.violin_summary(panel, e, v) for v in spec.sources}

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.functions import columns as fx
 from tidepanel.operators import cleaning, features, ordering, quality
+from tidepanel.plans import clean as stage
 from tidepanel.plans import forecast
-from tidepanel.session import new_path
+from tidepanel.session import new_path, write_table
 from tidepanel.sources import readers, writers
 from tidepanel.spec import ENERGY, LAGS, NULL_CATEGORIES, ROLLING_WINDOWS
+from tidepanel.streaming import rollup
 from tidepanel.workload import sql as s
 from tidepanel.workload import tables as tb
 from tidepanel.workload.registry import query, tidy
@@ -223,6 +227,34 @@ def clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(tb.clean_panel(spark, sf_dir))
 
 
+@query(
+    f"WITH {s.clean_hours()} SELECT {', '.join(map(s.q, _CLEAN_TEXT))}, {s.rounded([*_HOUR_COLUMNS, *s.CLEAN_DERIVED])} FROM clean"
+)
+def clean_hourly_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage A for an hourly source with missing hours: the grain is detected, nothing is rolled up, hours
+    without a row are added and interpolated."""
+    raw = write_table(tb.hourly_source(spark, sf_dir), "raw")
+    return tidy(stage.clean(raw, regular=True).select(*_CLEAN_TEXT, *_HOUR_COLUMNS, *s.CLEAN_DERIVED))
+
+
+@query(f"WITH {s.hourly()} SELECT \"Region\", \"Datetime\", {s.rounded(s.MEASURES)}, {s.rounded(s.RATES)}, \"Nature\" FROM hourly")
+def streaming_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly rollup of a panel that arrives in three parts: a stream over its files, drained after
+    each part, and closed at the end."""
+    panel = write_table(tb.typed_panel(spark, sf_dir), "typed")
+    source, sink, state = (new_path(spark, n) for n in ("arriving", "hours", "state"))
+    first, last = panel.agg(F.min("Datetime"), F.max("Datetime")).first()
+    cuts = [first, *(first + (last - first) * k / 3 for k in (1, 2)), last + timedelta(seconds=1)]
+    for a, b in zip(cuts, cuts[1:]):
+        at = F.col("Datetime")
+        panel.where((at >= F.lit(a).cast("timestamp_ntz")) & (at < F.lit(b).cast("timestamp_ntz"))).write.mode("append").parquet(source)
+        rollup.drain(spark, panel.schema, source, sink, state, ENERGY, "1 hour")
+    rollup.close(spark, panel.schema, source, ENERGY, str(last + timedelta(days=2)))
+    rollup.drain(spark, panel.schema, source, sink, state, ENERGY, "1 hour")
+    hours = spark.read.parquet(sink)
+    return tidy(hours.select("Region", "Datetime", *s.MEASURES, *s.RATES, "Nature"))
+
+
 # --- derived columns ------------------------------------------------------------------
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.operators import correlation, ordering, profiles
+from tidepanel.operators import correlation, ordering, profiles, sketches
+from tidepanel.operators.ordering import value_ladder
 from tidepanel.plans import explore
+from tidepanel.session import write_table
 from tidepanel.spec import CALENDAR_EXCLUDED, CORRELATION_CATEGORIES, ENERGY
 from tidepanel.workload import sql as s
 from tidepanel.workload import tables as tb
@@ -157,11 +159,11 @@ def modal_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT event_type, ts, value FROM events WHERE event_type = (SELECT event_type FROM events GROUP BY 1 "
-    "ORDER BY count(*) DESC, 1 LIMIT 1) ORDER BY ts LIMIT 168"
+    "ORDER BY count(*) DESC, 1 LIMIT 1) ORDER BY ts, event_id LIMIT 168"
 )
 def first_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = tb.load(spark, sf_dir, "events").select("event_type", "ts", "value")
-    return profiles.first_rows_of_mode(events, "event_type", "ts", 168)
+    events = tb.load(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    return profiles.first_rows_of_mode(events, "event_type", "ts", 168, ["event_id"]).drop("event_id")
 
 
 # --- distributions --------------------------------------------------------------------
@@ -201,8 +203,7 @@ FROM g JOIN x USING (event_type) GROUP BY event_type, n, mean, median, lo, hi, p
 )
 def violin_kde(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = profiles.violin_summary(tb.load(spark, sf_dir, "events"), "event_type", "value", k=3)
-    density = tidy(found.select("event_type", "point", "density"), 9)
-    return tidy(found.drop("density")).join(density, ["event_type", "point"])
+    return tidy(found, density=9)
 
 
 @query(
@@ -215,8 +216,7 @@ FROM range(50) r(i) CROSS JOIN e LEFT JOIN c ON b = i"""
 )
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = profiles.histogram(tb.load(spark, sf_dir, "lineitem"), "l_extendedprice", 50)
-    edges = tidy(found.drop("density"), 4)
-    return edges.join(tidy(found.select("bin", "density"), 9), "bin")
+    return tidy(found, 4, density=9)
 
 
 _DRAW = "md5('42|' || CAST(event_id AS VARCHAR))"
@@ -236,6 +236,33 @@ def hash_sample_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.hash_sample_by(events, ["event_type"], ["event_id"], 300)
 
 
+# --- stored sketches ------------------------------------------------------------------
+
+
+@query(
+    """WITH e AS (SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users,
+  quantile_disc(value, 0.5) AS x FROM events GROUP BY 1)
+SELECT event_type, n, users, true AS users_in_bound, true AS median_in_bound FROM e"""
+)
+def stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches per event type and month, stored, then merged upward: are distinct users and the
+    median within the sketches' error bounds of the exact values?"""
+    events = tb.load(spark, sf_dir, "events").select("event_type", "ts", "user_id", "value")
+    stored = write_table(sketches.monthly(events, ["event_type"], "ts", "user_id", "value"), "sketches")
+    merged = sketches.merged(stored, ["event_type"], {"median": 0.5})
+    ladder = value_ladder(events, ["event_type"], "value")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    # The share of rows at or below the sketch's median, from the exact ladder.
+    place = ladder.join(merged.select("event_type", "median"), "event_type").where(F.col("value") <= F.col("median"))
+    share = place.groupBy("event_type").agg((F.sum("n_at") / F.max("total")).alias("share"))
+    both = merged.join(exact, "event_type").join(share, "event_type")
+    return both.select(
+        "event_type", "n", "users",
+        (F.abs(F.col("distinct") - F.col("users")) <= sketches.DISTINCT_ERROR * F.col("users")).alias("users_in_bound"),
+        (F.abs(F.col("share") - 0.5) <= sketches.RANK_ERROR).alias("median_in_bound"),
+    )
+
+
 # --- correlation ----------------------------------------------------------------------
 
 _LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net", "charge", "l_partkey", "l_suppkey"]

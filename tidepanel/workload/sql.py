@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from tidepanel.functions import columns as fx
 from tidepanel.spec import ENERGY, ENERGY_RENAMES
 from tidepanel.workload.tables import SOURCES
 
@@ -11,11 +12,13 @@ RATES = [n for n in ENERGY_RENAMES.values() if "TCO" in n or "TCH" in n]
 MEASURES = list(ENERGY.measures)
 RAW_NUMBERS = [k for k, v in ENERGY_RENAMES.items() if v in MEASURES or v in RATES]
 
-SLOTS = """slots AS (
-  SELECT *, date_trunc('hour', ts) + to_minutes(CAST(30 * (minute(ts) // 30) AS BIGINT)) AS slot,
+def slots(minutes: int = 30) -> str:
+    return f"""slots AS (
+  SELECT *, date_trunc('hour', ts) + to_minutes(CAST({minutes} * (minute(ts) // {minutes}) AS BIGINT)) AS slot,
          CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS k
   FROM events)"""
 
+
 PATTERN = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
@@ -49,7 +52,7 @@ def _at(modulus: int, rest: int, sign: str = "") -> str:
     return _text(f"sum({sign}value) FILTER (WHERE event_id % {modulus} = {rest})")
 
 
-def raw(entity: str = "event_type") -> str:
+def raw(entity: str = "event_type", minutes: int = 30) -> str:
     cells = {
         "Nature": "arg_min('N' || (user_id % 3), event_id) FILTER (WHERE event_id % 5 <> 0)",
         "Consommation (MW)": "CASE WHEN min(event_id) % 11 = 0 THEN 'ND' ELSE "
@@ -68,7 +71,7 @@ def raw(entity: str = "event_type") -> str:
         cells[f"TCO {s} (%)"] = _text(f"sum(k) FILTER (WHERE event_id % 6 = {n})", 1)
         cells[f"TCH {s} (%)"] = _text(f"max(k) FILTER (WHERE event_id % 6 = {n} AND k < 50)", 1)
     body = ",\n".join(f"{c} AS {q(n)}" for n, c in cells.items())
-    return f"""{SLOTS},
+    return f"""{slots(minutes)},
 raw AS (
   SELECT CAST(length(CAST({entity} AS VARCHAR)) AS VARCHAR) AS "Code INSEE région",
          CAST({entity} AS VARCHAR) AS "Région",
@@ -83,13 +86,13 @@ RAW_COLUMNS = [
 ]
 
 
-def typed(entity: str = "event_type") -> str:
+def typed(entity: str = "event_type", minutes: int = 30, where: str = "true") -> str:
     numbers = ",\n".join(f"{locale_number(q(k))} AS {q(ENERGY_RENAMES[k])}" for k in RAW_NUMBERS)
-    return f"""{raw(entity)},
+    return f"""{raw(entity, minutes)},
 typed AS (
   SELECT "Région" AS "Region", "Nature", {numbers},
          strptime("Date" || ' ' || "Heure", '%Y-%m-%d %H:%M') AS "Datetime"
-  FROM raw)"""
+  FROM raw WHERE {where})"""
 
 
 def hourly(entity: str = "event_type") -> str:
@@ -156,10 +159,30 @@ def total(columns: Iterable[str]) -> str:
 def clean(entity: str = "event_type") -> str:
     """The cleaned panel (half-hourly source, so sums hold no null to interpolate)."""
     filled = [*MEASURES, *[f"coalesce({ruled_rate(c)}, 0) AS {c}" for c in RATES]]
-    parts = ", ".join(f"{e} AS {q(n)}" for n, e in calendar('"Datetime"').items())
     return f"""{hourly(entity)},
 filled AS (SELECT "Region", "Datetime", {", ".join(filled)}, "Nature" FROM hourly),
-clean AS (
+{derived()}"""
+
+
+def clean_hours() -> str:
+    """The cleaned panel of the hourly source with gaps, on a grid of all hours."""
+    part, order = '"Region"', '"Datetime"'
+    filled = [f"coalesce({interpolated(c, part, order) if c in ENERGY.sources else c}, 0) AS {c}" for c in MEASURES]
+    filled += [f"coalesce({ruled_rate(c)}, 0) AS {c}" for c in RATES]
+    where = """(CAST(substr("Date", 9, 2) AS INTEGER) + CAST(substr("Heure", 1, 2) AS INTEGER)) % 11 <> 0"""
+    return f"""{typed(minutes=60, where=where)},
+ends AS (SELECT "Region", min("Datetime") AS a, max("Datetime") AS b FROM typed GROUP BY 1),
+grid AS (SELECT "Region", unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS "Datetime" FROM ends),
+regular AS (SELECT * FROM grid LEFT JOIN typed USING ("Region", "Datetime")),
+{interpolation("regular", part, order, ENERGY.sources)},
+filled AS (SELECT "Region", "Datetime", {", ".join(filled)}, "Nature" FROM near),
+{derived()}"""
+
+
+def derived() -> str:
+    """The CTE ``clean`` from ``filled``."""
+    parts = ", ".join(f"{e} AS {q(n)}" for n, e in calendar('"Datetime"').items())
+    return f"""clean AS (
   SELECT *, CASE WHEN "Production_totale_MW" > 0
             THEN "Production_renouvelable_MW" / "Production_totale_MW" * 100 ELSE 0 END AS "Part_renouvelable",
          "Production_totale_MW" - "Consommation_MW" AS "Balance_MW"
@@ -170,6 +193,27 @@ clean AS (
 CLEAN_DERIVED = ["Production_totale_MW", "Production_renouvelable_MW", "Part_renouvelable", "Balance_MW"]
 
 
+def normal_quantile(p: str) -> str:
+    """The normal quantile by the library's fixed coefficients, written out."""
+
+    def ratio(x: str, tables: tuple) -> str:
+        sides = []
+        for coefficients in tables:
+            text = f"{coefficients[-1]!r}::DOUBLE"
+            for c in reversed(coefficients[:-1]):
+                text = f"(({text}) * {x} + {c!r}::DOUBLE)"
+            sides.append(text)
+        return f"({sides[0]}) / ({sides[1]})"
+
+    tail = f"sqrt(-ln(least({p}, 1 - {p})))"
+    near, far = ratio(f"({tail} - 1.6::DOUBLE)", fx.QUANTILE_TAIL), ratio(f"({tail} - 5)", fx.QUANTILE_FAR)
+    middle = ratio(f"(0.180625::DOUBLE - ({p} - 0.5) * ({p} - 0.5))", fx.QUANTILE_MIDDLE)
+    return (
+        f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {middle} "
+        f"ELSE sign({p} - 0.5) * CASE WHEN {tail} <= 5 THEN {near} ELSE {far} END END"
+    )
+
+
 # --- tail probabilities by Simpson's rule (an independent check of the library's) -------
 
 _SIMPSON = "CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"

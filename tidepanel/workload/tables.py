@@ -26,10 +26,10 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_panel(spark: SparkSession, sf_dir: str, entity: str = "event_type") -> DataFrame:
+def raw_panel(spark: SparkSession, sf_dir: str, entity: str = "event_type", minutes: int = 30) -> DataFrame:
     events = load(spark, sf_dir, "events").select(
         F.col(entity).cast("string").alias("Région"),
-        fx.floor_to("ts", 30).alias("slot"),
+        fx.floor_to("ts", minutes).alias("slot"),
         "event_id", "user_id", "value",
         F.regexp_extract("props", '"k": ([0-9]+)', 1).cast("int").alias("k"),
     )
@@ -73,6 +73,12 @@ def raw_panel(spark: SparkSession, sf_dir: str, entity: str = "event_type") -> D
     )
 
 
+def hourly_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table at hourly grain, without about one hour in eleven."""
+    raw = raw_panel(spark, sf_dir, minutes=60)
+    return raw.where((F.substring("Date", 9, 2).cast("int") + F.substring("Heure", 1, 2).cast("int")) % 11 != 0)
+
+
 def typed_panel(spark: SparkSession, sf_dir: str, entity: str = "event_type") -> DataFrame:
     return stage.typed(raw_panel(spark, sf_dir, entity))
 
@@ -104,5 +110,5 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-__all__ = ["EVENTS", "ENERGY", "cast_numbers", "clean_panel", "gappy_events", "lines", "load", "raw_panel",
+__all__ = ["EVENTS", "ENERGY", "cast_numbers", "clean_panel", "gappy_events", "hourly_source", "lines", "load", "raw_panel",
            "stored_clean_panel", "typed_panel"]

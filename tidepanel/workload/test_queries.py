@@ -96,7 +96,7 @@ def _spearman_sql(pairs: list[tuple[str, str]], table: str) -> str:
 def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = corr.spearman(tb.lines(spark, sf_dir), LINE_PAIRS)
     tested = found.withColumn("p", tail("t_two_sided", "t", F.col("n") - 2))
-    return tidy(tested.withColumn("t", F.round(F.col("t") + 37e-7, 4) + F.lit(0.0)))
+    return tidy(tested, t=4)
 
 
 def _kendall_sql(pairs: list[tuple[str, str]], table: str) -> str:
@@ -150,7 +150,7 @@ def partial_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def pair_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full battery on the cleaned panel: Pearson, Spearman, Kendall, Shapiro, labels."""
+    """The full battery on the cleaned panel: Pearson, Spearman, Kendall, normality of residuals, labels."""
     return testing.pair_tests(tb.stored_clean_panel(spark, sf_dir))
 
 
@@ -178,9 +178,7 @@ _EFFECT = "CASE WHEN e > 0.14 THEN 'Large' WHEN e > 0.06 THEN 'Medium' ELSE 'Sma
 )
 def anova_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = grouptests.with_anova_p(grouptests.anova(tb.load(spark, sf_dir, "orders"), ORDER_TESTS))
-    names = ["quantitative", "qualitative"]
-    eta = tidy(found.select(*names, "eta_squared"), 8)
-    return tidy(found.drop("eta_squared")).join(eta, names)
+    return tidy(found, eta_squared=8)
 
 
 def _kruskal_sql(tests: list[tuple[str, str]], table: str) -> str:
@@ -217,11 +215,36 @@ def tukey_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(grouptests.tukey(tb.load(spark, sf_dir, "orders"), "o_totalprice", "o_orderpriority"), 4)
 
 
-@query()
+def _simpson(i: str, n: int) -> str:
+    return f"CASE WHEN {i} IN (0, {n}) THEN 1 WHEN {i} % 2 = 1 THEN 4 ELSE 2 END"
+
+
+# P(range of k normals > q s) over the distribution of s, three nested Simpson sums.
+_RANGE = f"""pairs AS (SELECT a.grp AS group1, b.grp AS group2, b.mean - a.mean AS mean_diff, k, dof::DOUBLE AS dof,
+  sqrt(mse / 2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n)) AS std_error FROM g a JOIN g b ON a.grp < b.grp CROSS JOIN w),
+ps AS (SELECT *, abs(mean_diff) / std_error AS q FROM pairs),
+sg AS (SELECT i, ps.*, 1 + (i - 40) / 40.0::DOUBLE * 9 / sqrt(2 * dof) AS s FROM ps, range(81) t(i)),
+sm AS (SELECT *, {_simpson('i', 80)} * exp(ln(2) + dof / 2 * ln(dof / 2) - lgamma(dof / 2) + (dof - 1) * ln(s) - dof * s * s / 2) AS mass FROM sg WHERE s > 0),
+iz AS (SELECT group1, group2, i, j, k, mass, -8 + j / 10.0::DOUBLE AS z,
+  sum({_simpson('m', 60)} * exp(-pow(-8 + j / 10.0::DOUBLE + q * s * m / 60, 2) / 2)) * q * s / 180 / sqrt(2 * pi()) AS inside
+  FROM sm, range(161) zt(j), range(61) mt(m) GROUP BY group1, group2, i, j, k, mass, q, s),
+rz AS (SELECT group1, group2, i, mass, 1 - k * sum({_simpson('j', 160)} * exp(-z * z / 2) * pow(inside, k - 1)) * 0.1 / 3 / sqrt(2 * pi()) AS upper
+  FROM iz GROUP BY group1, group2, i, k, mass),
+pv AS (SELECT group1, group2, greatest(0, sum(mass * upper) / sum(mass)) AS p FROM rz GROUP BY 1, 2)"""
+
+
+@query(
+    f"{_TUKEY}, {_RANGE} SELECT group1, group2, {s.r('mean_diff', 4)} AS mean_diff, {s.r('p', 5)} AS p, p < 0.05 AS reject, "
+    "CAST(0.05 AS DOUBLE) AS p_at_critical, true AS bounds_agree FROM ps JOIN pv USING (group1, group2)"
+)
 def tukey_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same pairs with p, confidence bounds and decision."""
+    """The same pairs with p, decision, the level that the critical value has, and whether the
+    bounds leave out 0 just where the pair is rejected."""
     pairs = grouptests.tukey(tb.load(spark, sf_dir, "orders"), "o_totalprice", "o_orderpriority")
-    return grouptests.with_tukey_p(pairs)
+    found = grouptests.with_tukey_p(pairs)
+    level = tail("studentized_range_upper", "q_critical", "k", "dof")
+    agree = F.col("reject") == ((F.col("lower") > 0) | (F.col("upper") < 0))
+    return tidy(found.select("group1", "group2", "mean_diff", "p", "reject", level.alias("p_at_critical"), agree.alias("bounds_agree")), 5, mean_diff=4)
 
 
 def _grouped_sql(m: str, c: str) -> str:
@@ -317,14 +340,14 @@ def masked_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- time dependence ------------------------------------------------------------------
 
 
-def _ljung_sql(part: str, order: str) -> str:
+def _ljung_sql(part: str, order: str, source: str = "events") -> str:
     key = f"{part}, " if part else ""
     over = f"PARTITION BY {part}" if part else ""
     products = ", ".join(f"sum(e * e{k}) AS c{k}" for k in range(1, 25))
     lagged = ", ".join(f"lag(e, {k}) OVER ({over} ORDER BY {order}) AS e{k}" for k in range(1, 25))
     group = f"GROUP BY {part}" if part else ""
     long = _union([f"SELECT {key}n, {k} AS lag, coalesce(c{k}, 0) / c0 AS rho FROM a" for k in range(1, 25)])
-    return f"""WITH d AS (SELECT *, value - avg(value) OVER ({over}) AS e FROM events), l AS (SELECT *, {lagged} FROM d),
+    return f"""WITH d AS (SELECT *, value - avg(value) OVER ({over}) AS e FROM {source}), l AS (SELECT *, {lagged} FROM d),
 a AS (SELECT {key}count(*) AS n, sum(e * e) AS c0, {products} FROM l {group}), r AS ({long}),
 q AS (SELECT *, n * (n + 2.0::DOUBLE) * sum(rho * rho / (n - lag)) OVER ({over} ORDER BY lag) AS q FROM r)
 SELECT {key}n, CAST(lag AS INTEGER) AS lag, {s.r('rho')} AS rho, {s.r('q')} AS q, {s.r(s.chi2_upper('q', 'lag'))} AS p FROM q"""
@@ -345,17 +368,19 @@ def ljung_box_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(serial.with_ljung_box_p(found))
 
 
-_LB = _ljung_sql("event_type", "ts, event_id")
+_LB = _ljung_sql("event_type", "ts, event_id", "(SELECT event_type, ts, event_id, value + 10 * hour(ts) AS value FROM events)")
 
 
 @query(
-    f"WITH lb AS ({_LB}), h AS (SELECT event_type, lag FROM lb WHERE p < 0.5) SELECT event_type, count(*) AS n_significant, "
+    f"WITH lb AS ({_LB}), h AS (SELECT event_type, lag FROM lb WHERE p < 0.05) SELECT event_type, count(*) AS n_significant, "
     "array_to_string(list_slice(list(lag ORDER BY lag), 1, 5), ',') AS first_lags FROM h GROUP BY 1"
 )
 def significant_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per entity the number of lags with a Ljung-Box p below one half and the first five."""
-    events = tb.load(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
-    found = serial.significant_lags(serial.with_ljung_box_p(serial.ljung_box(events, tb.EVENTS, "value")), ["event_type"], alpha=0.5)
+    """Per entity the number of lags with a Ljung-Box p below 0.05 and the first five, of a value that
+    drifts with the hour."""
+    drifting = (F.col("value") + 10 * F.hour("ts")).alias("value")
+    events = tb.load(spark, sf_dir, "events").select("event_type", "ts", "event_id", drifting)
+    found = serial.significant_lags(serial.with_ljung_box_p(serial.ljung_box(events, tb.EVENTS, "value")), ["event_type"])
     return found.withColumn("first_lags", F.array_join(F.col("first_lags").cast("array<string>"), ","))
 
 
@@ -382,6 +407,33 @@ def granger_lag1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_granger(spark, sf_dir, 1))
 
 
+def _granger_sql(max_lag: int) -> str:
+    """F of lags 1 to ``max_lag``: regressors are made orthogonal one after the other."""
+    lags = ", ".join(f"lag({c}, {k}) OVER w AS {n}{k}" for c, n in (("value", "y"), ("CAST(user_id AS DOUBLE)", "x")) for k in range(1, max_lag + 1))
+    parts = [f"l AS (SELECT event_type, value AS y, {lags} FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))"]
+    found = []
+    for p in range(1, max_lag + 1):
+        inputs = [*(f"y{k}" for k in range(1, p + 1)), *(f"x{k}" for k in range(1, p + 1))]
+        over, names = "OVER (PARTITION BY event_type)", ["y", *inputs]
+        parts.append(f"g{p}_0 AS (SELECT event_type, {', '.join(f'{c} - avg({c}) {over} AS {c}' for c in names)} FROM l WHERE y{p} IS NOT NULL)")
+        for i, z in enumerate(inputs):
+            rest = ["y", *inputs[i + 1 :]]
+            cells = ", ".join(f"{c} - {z} * (sum({c} * {z}) {over} / sum({z} * {z}) {over}) AS {c}" for c in rest)
+            parts.append(f"g{p}_{i + 1} AS (SELECT event_type, {cells} FROM g{p}_{i})")
+        sums = [f"(SELECT event_type, count(*) AS n, sum(y * y) AS r{s} FROM g{p}_{at} GROUP BY 1)" for s, at in ((1, p), (2, 2 * p))]
+        found.append(
+            f"SELECT a.event_type, CAST({p} AS INTEGER) AS lag, a.n, (r1 - r2) / {p} / (r2 / (a.n - {2 * p + 1})) AS f, "
+            f"CAST({p} AS INTEGER) AS df_num, a.n - {2 * p + 1} AS df_den FROM {sums[0]} a JOIN {sums[1]} b USING (event_type)"
+        )
+    return f"WITH {', '.join(parts)}, f AS ({_union(found)}) SELECT event_type, lag, n, {s.r('f')} AS f, df_num, df_den, {s.r(s.f_upper('f', 'df_num', 'df_den'))} AS p FROM f"
+
+
+@query(_granger_sql(3))
+def granger_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags 1 to 3 with p; the SQL solves the regressions by orthogonal steps."""
+    return tidy(serial.with_granger_p(_granger(spark, sf_dir, 3)))
+
+
 _JB_GROUPS = _union([
     f"SELECT '{x} vs {y}' AS pair, event_type, {y} - (intercept + slope * {x}) AS e FROM ev, p WHERE pair = '{x} vs {y}'"
     for x, y in EVENT_PAIRS
@@ -398,7 +450,7 @@ _JB_GROUPS = _union([
 def jarque_bera(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = corr.with_residual(events_hour(spark, sf_dir), EVENT_PAIRS)
     found = serial.jarque_bera(rows, "residual", ["pair", "event_type"]).drop("p")
-    return tidy(found.withColumn("jb", F.round(F.col("jb") + 37e-7, 4) + F.lit(0.0)))
+    return tidy(found, jb=4)
 
 
 @query(
@@ -408,3 +460,21 @@ def residual_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jarque-Bera and K² per pair and entity over all rows."""
     rows = corr.with_residual(events_hour(spark, sf_dir), EVENT_PAIRS)
     return tidy(serial.normality(rows, "residual", ["pair", "event_type"]), 4)
+
+
+_QUANTILE = s.normal_quantile("(rk - 0.375::DOUBLE) / (n + 0.25::DOUBLE)")
+
+
+@query(
+    f"WITH {_EVENTS}, p AS ({_pearson_sql(EVENT_PAIRS, 'ev')}), e AS ({_JB_GROUPS}), "
+    "k AS (SELECT *, row_number() OVER (PARTITION BY pair, event_type ORDER BY e) AS rk, count(*) OVER (PARTITION BY pair, event_type) AS n FROM e), "
+    f"w AS (SELECT pair, event_type, n, pow(corr(e, {_QUANTILE}), 2) AS w FROM k GROUP BY ALL), "
+    "z AS (SELECT *, (ln(1 - w) - (-1.2725::DOUBLE + 1.0521::DOUBLE * (ln(ln(n)) - ln(n)))) / (1.0308::DOUBLE - 0.26758::DOUBLE * (ln(ln(n)) + 2 / ln(n))) AS z FROM w), "
+    f"t AS (SELECT *, {s.t_two_sided('z', '1e7::DOUBLE')} / 2 AS half FROM z) "
+    f"SELECT pair, event_type, n, {s.r('w', 8)} AS w, {s.r('z', 4)} AS z, {s.r('CASE WHEN z >= 0 THEN half ELSE 1 - half END', 4)} AS p, "
+    "CASE WHEN z >= 0 THEN half ELSE 1 - half END > 0.05 AS normal FROM t"
+)
+def shapiro_francia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W' of every pair's residuals per entity, over all rows."""
+    rows = corr.with_residual(events_hour(spark, sf_dir), EVENT_PAIRS)
+    return tidy(serial.shapiro_francia(rows, "residual", ["pair", "event_type"]), 4, w=8)
