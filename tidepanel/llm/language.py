@@ -182,7 +182,8 @@ def identify(documents: DataFrame, model: Model, penalty: float = 12.0, with_spa
     ``lang_pred`` has the most letters on the best path, ``score`` is its share of the letters;
     a text that is null or has no letter is ``und`` with score 0, and so is every text if the
     model knows no language. Ties go to the language first in order. Former columns of these
-    names are replaced; an empty table gives no rows. Nothing is shuffled.
+    names are replaced; repeated rows are each returned; an empty table gives no rows. A text is taken
+    whole, however long: its path takes some 100 bytes a word and language. Nothing is shuffled.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages x 4 bytes
     names = [c for c in documents.columns if c not in ("lang_pred", "score", "spans")]

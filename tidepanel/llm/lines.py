@@ -39,7 +39,7 @@ def dedup_lines(documents: DataFrame, min_chars: int = 10, min_docs: int = 2) ->
 
     Exploded rows hold two hashes, the id and the position; hashes are counted in two steps with
     partial sums, so a line found in a third of all documents is no hot key. The text is shuffled
-    once, to meet its dropped positions.
+    once, to meet its dropped positions; a very long one is split and joined in one row.
     """
     lines = write_table(line_keys(documents, min_chars), "lines")
     holders = lines.groupBy("k1", "k2", "_id").agg(F.lit(1).alias("one"))

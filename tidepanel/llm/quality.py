@@ -64,7 +64,8 @@ def judge(
 
     A null text is empty; a null host is a host of its own; a null doc_id is one document more;
     repeated rows count as one document and are each returned; an empty table gives no rows;
-    other columns are ignored. No text is shuffled: a line is two hashes, a host one. Counts are
+    other columns are ignored; a very long text is measured whole, with 16 bytes a window of its words.
+    No text is shuffled: a line is two hashes, a host one. Counts are
     partial sums in two steps, so neither a hot host nor a hot line is a hot key.
     """
     lines = write_table(line_rows(documents, host), "lines")

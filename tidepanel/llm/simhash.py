@@ -213,7 +213,7 @@ def near_duplicates(
 
     A text without words has fingerprint 0 and links like any other; a null doc_id counts as the
     smallest id (``NO_ID``); rows that repeat a doc_id are one document; an empty table gives no
-    rows; other columns are ignored.
+    rows; other columns are ignored. A very long text is hashed whole, at some 40 bytes a word.
     """
     fps = write_table(fingerprints(documents, shingle), "fingerprints")
     classes = write_table(fps.groupBy("fp").agg(F.min("id").alias("id")), "classes")

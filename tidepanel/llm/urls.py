@@ -115,7 +115,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], model: UrlModel
 
     Without ``model`` the urls that a rule fits are the labelled ones. A null url or one without
     ``://`` has empty host and path and no rule; repeated rows are each returned; an empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored; a very long url is taken whole. Of rules that fit equally
+    long the last given wins.
     """
     host, path = parts(F.col("url"))
     known = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
