@@ -96,3 +96,34 @@ def test_grid_has_every_pair_once_in_order(rows):
         row = modelling.score(result, "y", key[1], key[0]).first()
         assert row["test_rmse"] == pytest.approx(results.where(f"feature_set = '{key[0]}' and model = '{key[1]}'").first()["test_rmse"], rel=1e-9)
         assert result.seconds > 0 and result.model.transform(df.where("g is not null")).count() == result.predicted.count()
+
+
+@pytest.mark.parametrize("name", ["Decision Tree", "Random Forest", "Gradient Boosting"])
+def test_node_table_gives_the_models_importances(rows, tmp_path, name):
+    df, _ = rows
+    df = df.where("g is not null")
+    stats = modelling.TargetStats.of(df.where("split = 'train'"), "y")
+    model = modelling.fit(modelling.estimators("y", stats, trees=5, rounds=4, forest_depth=5)[name], df, stats.n, ["x1", "x2"], "g").model.stages[-1]
+    path = f"file://{tmp_path}/model"
+    model.write().overwrite().save(path)
+    nodes = modelling.tree_nodes(df.sparkSession, path)
+    table = modelling.node_importances(nodes, per_tree=name != "Gradient Boosting").toPandas().set_index("feature")
+    want = model.featureImportances.toArray()
+    got = np.zeros(len(want))
+    got[table.index] = table["importance"]
+    np.testing.assert_allclose(got, want, rtol=1e-9)
+    trees = getattr(model, "trees", [model])
+    assert nodes.count() == sum(t.numNodes for t in trees) and table["splits"].sum() == sum((t.numNodes - 1) // 2 for t in trees)
+    # A row walks from the root by the thresholds to the leaf that predicts it.
+    if name != "Decision Tree":
+        return
+    one = {r["node"]: r for r in nodes.collect()}
+    train = df.where("split = 'train'")
+    ready = modelling.Pipeline(stages=modelling.preprocessing(train, stats.n, ["x1", "x2"], "g")).fit(train)
+    for r in model.transform(ready.transform(df)).collect():
+        at = one[0]
+        while at["left"] is not None:
+            v = r["features"][at["feature"]]
+            left = v <= at["threshold"] if at["threshold"] is not None else v in at["left_categories"]
+            at = one[at["left"] if left else at["right"]]
+        assert at["prediction"] == r["prediction"]

@@ -304,6 +304,39 @@ def importances(model: PipelineModel, numeric: Sequence[str], category: str, spa
     return table.orderBy(F.desc("importance"), "feature").limit(top)
 
 
+def tree_nodes(spark, path: str) -> DataFrame:
+    """The nodes of a saved tree model as a table: tree, node, n (rows), prediction, impurity, gain,
+    feature, threshold or left_categories, left and right. Leaves have a null feature and gain and no
+    children; a row goes left up to the threshold, or if its category is among the left ones."""
+    saved = spark.read.parquet(f"{path.rstrip('/')}/data")
+    flat = saved.select(F.col("treeID").alias("tree"), "nodeData.*") if "nodeData" in saved.columns else saved.select(F.lit(0).alias("tree"), "*")
+    inner, kinds = F.col("leftChild") >= 0, F.col("split.numCategories") >= 0
+    return flat.select(
+        "tree", F.col("id").alias("node"), F.col("impurityStats")[0].alias("n"), "prediction", "impurity", F.when(inner, F.col("gain")).alias("gain"),
+        F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(inner & ~kinds, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
+        F.when(inner & kinds, F.col("split.leftCategoriesOrThreshold")).alias("left_categories"),
+        F.when(inner, F.col("leftChild")).alias("left"), F.when(inner, F.col("rightChild")).alias("right"),
+    )
+
+
+def node_importances(nodes: DataFrame, per_tree: bool = True) -> DataFrame:
+    """By feature: splits, cover (rows that pass its splits) and importance of an ensemble's nodes.
+
+    A feature's importance in a tree is its share of the gain summed over the tree's rows; over
+    the ensemble it is the mean over trees that split at all, as forests report it. Without
+    ``per_tree`` it is the share of the gain of all trees together, as boosting reports it.
+    """
+    inner = nodes.where("feature is not null")
+    each = inner.groupBy("tree", "feature").agg(
+        F.count("*").alias("splits"), F.sum("n").alias("cover"), F.sum(F.col("gain") * F.col("n")).alias("gain"))
+    whole = each.groupBy("tree").agg(F.sum("gain").alias("_all"))
+    shares = each.join(whole, "tree").withColumn("share", F.try_divide("gain", "_all") if per_tree else F.col("gain"))
+    found = shares.groupBy("feature").agg(F.sum("splits").alias("splits"), F.sum("cover").alias("cover"), F.sum("share").alias("share"))
+    total = found.agg(F.sum("share")).scalar()
+    return found.select("feature", "splits", "cover", F.try_divide("share", total).alias("importance"))
+
+
 # --- diagnostics of the best model's predictions --------------------------------------
 
 

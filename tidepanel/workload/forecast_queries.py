@@ -96,6 +96,17 @@ _STEP = "CASE WHEN month(o_orderdate) > 6 THEN 100 ELSE 0 END + CASE WHEN substr
 TREES = ["Decision Tree", "Random Forest", "Gradient Boosting"]
 
 
+def _step_fits(spark: SparkSession, sf_dir: str, models: list[str]) -> dict:
+    orders = tb.load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.month("o_orderdate").alias("month"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        F.lit("all").alias("kind"), F.expr(f"CAST({_STEP} AS DOUBLE)").alias("y"),
+    )
+    split = write_table(chronological_split(orders, ["o_orderdate", "o_orderkey"]), "training")
+    stats = modelling.TargetStats.of(split.where("split = 'train'"), "y")
+    trees = {k: v for k, v in modelling.estimators("y", stats).items() if k in models}
+    return modelling.tree_fits(split, stats.n, "y", "kind", {"steps": ["month", "priority"]}, trees)
+
+
 @query(
     f"WITH o AS (SELECT CAST(month(o_orderdate) AS INTEGER) AS month, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, "
     f"CAST({_STEP} AS DOUBLE) AS y FROM orders) SELECT model, month, priority, count(*) AS n, min(y) AS lowest, max(y) AS highest "
@@ -104,14 +115,7 @@ TREES = ["Decision Tree", "Random Forest", "Gradient Boosting"]
 def tree_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree, a forest and boosting on a step function of two columns of all orders: least and
     largest prediction by cell."""
-    orders = tb.load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", F.month("o_orderdate").alias("month"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
-        F.lit("all").alias("kind"), F.expr(f"CAST({_STEP} AS DOUBLE)").alias("y"),
-    )
-    split = write_table(chronological_split(orders, ["o_orderdate", "o_orderkey"]), "training")
-    stats = modelling.TargetStats.of(split.where("split = 'train'"), "y")
-    trees = {k: v for k, v in modelling.estimators("y", stats).items() if k in TREES}
-    fits = modelling.tree_fits(split, stats.n, "y", "kind", {"steps": ["month", "priority"]}, trees)
+    fits = _step_fits(spark, sf_dir, TREES)
     out = None
     for (_, name), (result, _) in fits.items():
         cells = result.predicted.groupBy("month", "priority").agg(
@@ -121,6 +125,24 @@ def tree_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(out, 4)
 
 
+@query(
+    "WITH o AS (SELECT o_orderkey, o_orderdate, month(o_orderdate) > 6 AS late, CAST(" + _STEP + " AS DOUBLE) AS y FROM orders), "
+    "sp AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 < floor(0.8 * (SELECT count(*) FROM o)) AS train FROM o), "
+    "t AS (SELECT count(*) AS n, var_pop(y) AS v FROM sp WHERE train), "
+    "h AS (SELECT sum(n * v) / sum(n) AS inside FROM (SELECT count(*) AS n, var_pop(y) AS v FROM sp WHERE train GROUP BY late)) "
+    f"SELECT 'month' AS feature, 1::BIGINT AS splits, n::DOUBLE AS cover, {s.r('1 - inside / v')} AS importance FROM t, h UNION ALL "
+    f"SELECT 'priority', 2::BIGINT, n::DOUBLE, {s.r('inside / v')} FROM t, h"
+)
+def stored_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of ``tree_steps`` saved and read back as a table of nodes: one split by month, then one by
+    priority on either side, with the rows that pass them and their share of the gain."""
+    fits = _step_fits(spark, sf_dir, TREES[:1])
+    path = new_path(spark, "tree")
+    fits["steps", TREES[0]][0].model.stages[-1].write().overwrite().save(path)
+    found = modelling.node_importances(modelling.tree_nodes(spark, path))
+    return tidy(found.select(F.when(F.col("feature") == 0, "month").otherwise("priority").alias("feature"), "splits", "cover", "importance"))
+
+
 # --- the model grid on the cleaned panel -------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from tidepanel.functions.tails import tail
 from tidepanel.operators import correlation as corr
 from tidepanel.operators import grouptests, serial
 from tidepanel.plans import testing
-from tidepanel.spec import TESTED_GROUPS
+from tidepanel.spec import TESTED_GROUPS, TESTED_PAIRS
 from tidepanel.workload import sql as s
 from tidepanel.workload import tables as tb
 from tidepanel.workload.profile_queries import _LINES
@@ -99,7 +99,7 @@ def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(tested, t=4)
 
 
-def _kendall_sql(pairs: list[tuple[str, str]], table: str) -> str:
+def _kendall_sql(pairs: list[tuple[str, str]], table: str, key: str = "event_id") -> str:
     out = []
     for x, y in pairs:
         ties = " ".join(
@@ -108,7 +108,7 @@ def _kendall_sql(pairs: list[tuple[str, str]], table: str) -> str:
             for n, g in (("tx", x), ("ty", y))
         )
         out.append(
-            f"(WITH s AS (SELECT sum(sign(a.{x} - b.{x}) * sign(a.{y} - b.{y})) AS s FROM {table} a JOIN {table} b ON a.event_id < b.event_id), "
+            f"(WITH s AS (SELECT sum(sign(a.{x} - b.{x}) * sign(a.{y} - b.{y})) AS s FROM {table} a JOIN {table} b ON a.{key} < b.{key}), "
             f"m AS (SELECT count(*) AS n, count(*) * (count(*) - 1.0::DOUBLE) AS m FROM {table}){ties} "
             f"SELECT '{x} vs {y}' AS pair, n, s / (sqrt(m / 2 - tx.t) * sqrt(m / 2 - ty.t)) AS tau, "
             "s / sqrt((m * (2 * n + 5) - tx.tv - ty.tv) / 18 + 2 * tx.t * ty.t / m + tx.t3 * ty.t3 / (9 * m * (n - 2))) AS z "
@@ -148,10 +148,27 @@ def partial_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(found.drop("t"))
 
 
-@query()
+_PANEL_RESIDUALS = _union([
+    f"SELECT '{x} vs {y}' AS pair, {y} - (intercept + slope * {x}) AS e FROM c, p WHERE pair = '{x} vs {y}'" for x, y in TESTED_PAIRS
+])
+_NORMAL = s.normality(_PANEL_RESIDUALS, "pair").rpartition("\nSELECT")[0]
+_PANEL_TESTS = f"""c AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY "Region", "Datetime") AS rid FROM clean),
+p AS MATERIALIZED (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t FROM ({_pearson_sql(TESTED_PAIRS, 'c')})),
+rs AS (SELECT *, rho * sqrt((n - 2) / (1 - rho * rho)) AS ts FROM ({_spearman_sql(TESTED_PAIRS, 'c')})),
+kt AS ({_kendall_sql(TESTED_PAIRS, 'c', 'rid')}), {_NORMAL},
+v AS (SELECT p.pair, p.n, r, t, {s.t_two_sided('t', '(p.n - 2)')} AS pv, rho, {s.t_two_sided('ts', '(p.n - 2)')} AS sp,
+  tau, {s.t_two_sided('z', '1e7::DOUBLE')} AS kp, coalesce(exp(-k2 / 2), exp(-jb / 2)) > 0.05 AS residuals_normal
+  FROM p JOIN rs USING (pair) JOIN kt USING (pair) LEFT JOIN nf USING (pair))"""
+
+
+@query(
+    f"WITH {s.clean()}, {_PANEL_TESTS} SELECT pair, n, {s.r('r', 5)} AS pearson_r, {s.r('pv', 5)} AS pearson_p, {s.r('rho', 5)} AS spearman_rho, "
+    f"{s.r('sp', 5)} AS spearman_p, {s.r('tau', 5)} AS kendall_tau, {s.r('kp', 5)} AS kendall_p, {s.r('r * r', 5)} AS r_squared, "
+    f"residuals_normal, {_STRENGTH} AS strength, {_STARS} AS stars, abs(rho - r) > 0.1 AS nonlinear FROM v"
+)
 def pair_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full battery on the cleaned panel: Pearson, Spearman, Kendall, normality of residuals, labels."""
-    return testing.pair_tests(tb.stored_clean_panel(spark, sf_dir))
+    return tidy(testing.pair_tests(tb.stored_clean_panel(spark, sf_dir)), 5)
 
 
 # --- groups ---------------------------------------------------------------------------
