@@ -129,12 +129,8 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("n"), column).limit(1)
 
 
-def box_summary(df: DataFrame, group: str, measure: str) -> DataFrame:
-    """Box plot numbers per group: mean, quartiles, whiskers (1.5 IQR) and outlier count.
-
-    Everything after the first count runs on distinct values, and the quartiles are read
-    off an ordered ladder, so no task has to hold a whole group.
-    """
+def _fenced(df: DataFrame, group: str, measure: str) -> tuple[DataFrame, DataFrame]:
+    """The ladder of values per group, and the quartiles with the fences 1.5 IQR beyond them."""
     ladder = value_ladder(df.where(F.col(group).isNotNull()), [group], measure)
     found = quantiles(ladder, [group], measure, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fences = found.withColumns(
@@ -146,6 +142,16 @@ def box_summary(df: DataFrame, group: str, measure: str) -> DataFrame:
     # Written, the fences have a known size: Spark broadcasts them if they are small and
     # splits a hot group in a sort-merge join if they are not.
     fences = write_table(fences, "fences")
+    return ladder, fences
+
+
+def box_summary(df: DataFrame, group: str, measure: str) -> DataFrame:
+    """Box plot numbers per group: mean, quartiles, whiskers (1.5 IQR) and outlier count.
+
+    Everything after the first count runs on distinct values, and the quartiles are read
+    off an ordered ladder, so no task has to hold a whole group.
+    """
+    ladder, fences = _fenced(df, group, measure)
     v, n = F.col(measure), F.col("n_at")
     inside = v.between(F.col("_low"), F.col("_high"))
     return (
@@ -160,6 +166,14 @@ def box_summary(df: DataFrame, group: str, measure: str) -> DataFrame:
     )
 
 
+def box_fliers(df: DataFrame, group: str, measure: str) -> DataFrame:
+    """(group, value, n): the different values outside the whiskers of :func:`box_summary` and their rows."""
+    ladder, fences = _fenced(df, group, measure)
+    v = F.col(measure)
+    outside = ladder.join(fences.select(group, "_low", "_high"), group).where(~v.between(F.col("_low"), F.col("_high")))
+    return outside.select(group, measure, F.col("n_at").alias("n"))
+
+
 def violin_summary(df: DataFrame, group: str, measure: str, k: int = 5, points: int = 100) -> DataFrame:
     """Density curves of the k groups with the largest mean, on ``points`` grid points.
 

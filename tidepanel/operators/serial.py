@@ -128,6 +128,19 @@ def granger(
     return solved.withColumnRenamed("entity", entity)
 
 
+def granger_first(
+    df: DataFrame, order: Sequence[str], effect: str, cause: str, max_lag: int = 24, first: int = 5000
+) -> DataFrame:
+    """:func:`granger` of the ``first`` rows of the whole table in ``order``, as one series.
+
+    Every task keeps that many rows at most, and so does the one that orders them.
+    """
+    known = df.where(F.col(effect).isNotNull() & F.col(cause).isNotNull())
+    rows = known.select(*order, F.col(effect).alias("_effect"), F.col(cause).alias("_cause")).orderBy(*order).limit(first)
+    spec = PanelSpec(entity="_all", ts=order[0], target="_effect", tie_break=tuple(order[1:]), hourly=True)
+    return granger(rows.withColumn("_all", F.lit(0)), spec, "_effect", "_cause", max_lag).drop("_all")
+
+
 def with_granger_p(found: DataFrame) -> DataFrame:
     return found.withColumn("p", tail("f_upper", "f", "df_num", "df_den"))
 

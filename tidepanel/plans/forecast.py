@@ -67,6 +67,7 @@ def diagnostics(
         "perfect_line": modelling.perfect_line(test, spec.target),
         "week": numbered.where(F.col("place").between(slice_from, slice_from + slice_rows - 1)),
         "normality": serial.normality(errors, "error"),
+        "shapiro_francia": serial.shapiro_francia(errors, "error"),
         "ljung_box": box,
         "significant_lags": serial.significant_lags(box),
     }

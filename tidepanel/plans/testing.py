@@ -41,6 +41,11 @@ def pair_tests(
     )
 
 
+def residual_normality(df: DataFrame, pairs: Sequence[corr.Pair] = TESTED_PAIRS, alpha: float = 0.05) -> DataFrame:
+    """Shapiro-Francia of every pair's residuals, over all rows."""
+    return serial.shapiro_francia(corr.with_residual(df, pairs), "residual", ["pair"], alpha)
+
+
 def group_tests(df: DataFrame, tests: Sequence[grouptests.Test] = TESTED_GROUPS) -> DataFrame:
     """ANOVA, Kruskal-Wallis and effect size of every measure by category."""
     names = ["quantitative", "qualitative"]
@@ -117,6 +122,7 @@ def all_tests(
     pairs, groups = write_table(pair_tests(panel), "pairs"), write_table(group_tests(panel), "groups")
     out = {"pairs": pairs, "groups": groups, "p_values": p_values(pairs, groups), "conclusions": conclusions(pairs, groups)}
     out |= {f"tukey {m} by {c}": t for (m, c), t in post_hoc(panel, groups, spec).items()}
+    out["residuals"] = residual_normality(panel)
     out["partial"] = corr.partial_correlation(panel, *partial)
     out["matrix"] = masked_matrix(panel)
     hourly = spec.at(hourly=True)

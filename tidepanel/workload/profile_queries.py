@@ -191,6 +191,16 @@ def box_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(profiles.box_summary(tb.load(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice"), 4)
 
 
+@query(
+    "WITH q AS (SELECT lang AS g, quantile_cont(n_chars, 0.25::DOUBLE) AS q1, quantile_cont(n_chars, 0.75::DOUBLE) AS q3 FROM documents WHERE lang IS NOT NULL GROUP BY 1) "
+    "SELECT lang, n_chars, count(*) AS n FROM documents JOIN q ON lang = g "
+    "WHERE n_chars NOT BETWEEN q1 - 1.5::DOUBLE * (q3 - q1) AND q3 + 1.5::DOUBLE * (q3 - q1) GROUP BY 1, 2"
+)
+def box_fliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of documents beyond the whiskers of their language."""
+    return profiles.box_fliers(tb.load(spark, sf_dir, "documents").select("lang", "n_chars"), "lang", "n_chars")
+
+
 @query(
     f"""WITH top AS (SELECT event_type FROM events GROUP BY 1 ORDER BY avg(value) DESC, 1 LIMIT 3),
 x AS (SELECT event_type, value FROM events WHERE event_type IN (FROM top)),

@@ -424,10 +424,10 @@ def granger_lag1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_granger(spark, sf_dir, 1))
 
 
-def _granger_sql(max_lag: int) -> str:
+def _granger_sql(max_lag: int, source: str = "events") -> str:
     """F of lags 1 to ``max_lag``: regressors are made orthogonal one after the other."""
     lags = ", ".join(f"lag({c}, {k}) OVER w AS {n}{k}" for c, n in (("value", "y"), ("CAST(user_id AS DOUBLE)", "x")) for k in range(1, max_lag + 1))
-    parts = [f"l AS (SELECT event_type, value AS y, {lags} FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))"]
+    parts = [f"l AS (SELECT event_type, value AS y, {lags} FROM {source} WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))"]
     found = []
     for p in range(1, max_lag + 1):
         inputs = [*(f"y{k}" for k in range(1, p + 1)), *(f"x{k}" for k in range(1, p + 1))]
@@ -451,6 +451,16 @@ def granger_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(serial.with_granger_p(_granger(spark, sf_dir, 3)))
 
 
+@query(
+    "SELECT lag, n, f, df_num, df_den, p FROM ("
+    + _granger_sql(3, "(SELECT 0 AS event_type, ts, event_id, value, user_id FROM events ORDER BY ts, event_id LIMIT 5000)") + ")"
+)
+def granger_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags 1 to 3 over the first 5000 rows in time order, all types as one series."""
+    events = tb.load(spark, sf_dir, "events").select("ts", "event_id", "value", "user_id")
+    return tidy(serial.with_granger_p(serial.granger_first(events, ["ts", "event_id"], "value", "user_id", 3)))
+
+
 _JB_GROUPS = _union([
     f"SELECT '{x} vs {y}' AS pair, event_type, {y} - (intercept + slope * {x}) AS e FROM ev, p WHERE pair = '{x} vs {y}'"
     for x, y in EVENT_PAIRS
