@@ -54,7 +54,7 @@ def format_turns(messages: DataFrame) -> DataFrame:
     pos = F.row_number().over(Window.partitionBy("t").orderBy(*_order()))
     links = keyed.select("t", pos.alias("pos"))
     links = links.select("t", "pos", F.when(F.col("pos") > 1, F.col("pos") - 1).alias("up"), F.lit(0.0).alias("score"))
-    return _format(keyed, write_table(links, "links"), 1)
+    return _format(_whole(keyed, _paths(write_table(links, "links"), 1)))
 
 
 def format_trees(messages: DataFrame, top: int = 1) -> DataFrame:
@@ -67,15 +67,15 @@ def format_trees(messages: DataFrame, top: int = 1) -> DataFrame:
     score: 0; a null node_id is no one's parent. An empty table gives no rows; other columns are
     ignored.
 
-    A conversation is one value and has to fit in a task; everything before its last step moves
-    ids only, and the text is shuffled once.
+    A conversation is one value and has to fit in a task, its tree need not; everything before the
+    texts meet their paths moves ids only.
     """
     keyed = _keyed(messages, "node_id")
     pos = F.row_number().over(Window.partitionBy("t").orderBy(*_order()))
     nodes = write_table(keyed.select("t", "node", "parent_id", "score", pos.alias("pos")), "nodes")
     first = nodes.where(F.col("node").isNotNull()).groupBy("t", F.col("node").alias("parent_id")).agg(F.min("pos").alias("up"))
     links = nodes.join(first, ["t", "parent_id"], "left").select("t", "pos", "up", F.coalesce("score", F.lit(0.0)).alias("score"))
-    return _format(keyed, write_table(links, "links"), top)
+    return _format(_chosen(keyed, _paths(write_table(links, "links"), top)))
 
 
 def _ancestors(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -114,15 +114,29 @@ def _paths(links: DataFrame, top: int) -> DataFrame:
     return steps
 
 
-def _format(keyed: DataFrame, links: DataFrame, top: int) -> DataFrame:
-    """Only messages on chosen paths are gathered: a wide tree costs no more than they do."""
+def _whole(keyed: DataFrame, steps: DataFrame) -> DataFrame:
+    """The turns of paths that hold every message of their tree: one shuffle of the texts."""
+    ordered = F.sort_array(F.collect_list(F.struct("back", "pos")), asc=False)
+    places = steps.groupBy("t", "rank").agg(F.transform(ordered, lambda x: x["pos"]).alias("places"))
+    messages = keyed.groupBy("t").agg(
+        F.min("tree_id").alias("tree_id"),
+        F.sort_array(F.collect_list(F.struct("node", "role", "h", "text"))).alias("all"),
+    )
+    both = messages.join(places.hint("shuffle_hash"), "t")
+    return bind(both, turns=F.transform("places", lambda p: F.get(F.col("all"), p - 1))).drop("all", "places")
+
+
+def _chosen(keyed: DataFrame, steps: DataFrame) -> DataFrame:
+    """The turns of some paths of a tree: only their messages are gathered, however wide the tree."""
     pos = F.row_number().over(Window.partitionBy("t").orderBy(*_order()))
-    placed = keyed.select("t", pos.alias("pos"), "tree_id", "role", "text")
-    path = placed.join(_paths(links, top).hint("shuffle_hash"), ["t", "pos"])
-    both = path.groupBy("t", "rank").agg(
+    path = keyed.select("t", pos.alias("pos"), "tree_id", "role", "text").join(steps.hint("shuffle_hash"), ["t", "pos"])
+    return path.groupBy("t", "rank").agg(
         F.min("tree_id").alias("tree_id"),
         F.sort_array(F.collect_list(F.struct("back", "role", "text")), asc=False).alias("turns"),
     )
+
+
+def _format(both: DataFrame) -> DataFrame:
     parts = bind(both, parts=F.transform("turns", lambda m: F.struct(
         F.concat(escape_role(m["role"]), F.lit("\n")).alias("head"), escape(m["text"]).alias("body"), (m["role"] == "assistant").alias("learned"))))
     block = lambda p: F.concat(F.lit(OPEN), p["head"], p["body"], F.lit(CLOSE + "\n"))
