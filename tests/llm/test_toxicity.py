@@ -102,3 +102,27 @@ def test_labels_by_broadcast_and_by_join_agree(spark):
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
     a, b = (toxicity.fit(docs, labels, max_broadcast=n) for n in (10**6, 0))
     assert (a.keys == b.keys).all() and np.allclose(a.ratios, b.ratios) and np.allclose(a.weight, b.weight)
+
+
+def test_expressions_sent_and_joined_agree(spark):
+    rows = [(i, t, y) for i, (t, y) in enumerate(corpus())]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    sent, stored = (toxicity.fit(docs, labels, max_expressions=n) for n in (10**6, 0))
+    assert isinstance(stored, toxicity.StoredModel) and np.allclose(sent.weight, stored.weight)
+    odd = [(None, None), (7, ""), (8, "you are vile"), (8, "you are vile"), (9, "you are vile " * 20_000), (9, "...")]
+    mixed = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    for table in (mixed.selectExpr("doc_id", "text", "1 AS mark", "2 AS x", "'old' AS score"), docs.limit(0)):
+        a, b = (toxicity.score(table, m) for m in (sent, stored))
+        assert a.dtypes == b.dtypes
+        a, b = (sorted(map(tuple, df.select("doc_id", "text", "predicted", "score").fillna({"doc_id": -1, "text": ""}).collect())) for df in (a, b))
+        assert [r[:3] for r in a] == [r[:3] for r in b] and np.allclose([r[3] for r in a], [r[3] for r in b])
+
+
+def test_no_expression_is_told(spark):
+    """One class only: the table of expressions is empty, both ways."""
+    docs = spark.createDataFrame([(i, f"w{i} fine") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(20)], "doc_id long, toxic int")
+    for most in (10, -1):
+        got = toxicity.score(docs, toxicity.fit(docs, labels, max_expressions=most))
+        assert got.where("predicted = 0").count() == 20

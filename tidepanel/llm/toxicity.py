@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +167,20 @@ def ratios(counts: DataFrame, discount: float, chance: float, least: int) -> Dat
     return found.unionByName(pair.select("h", "w", r.alias("r")))
 
 
+def told(texts: list[str | None], memo: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of the texts the number of its text, its key and that of the word after the one
+    before; and of each text the number of its different words, at least 1."""
+    split = [words(t) for t in texts]
+    for w in set().union(*split) - memo.keys():
+        memo[w] = word_key(w)
+    sizes = [len(ws) for ws in split]
+    keys = np.fromiter((memo[w] for ws in split for w in ws), np.uint64, sum(sizes))
+    before = np.concatenate([np.array([START], np.uint64), keys[:-1]]) if len(keys) else keys
+    before[np.cumsum([0, *sizes[:-1]])[np.array(sizes) > 0] if sizes else []] = START
+    many = np.array([max(1, len(set(ws))) for ws in split], np.int64)
+    return np.repeat(np.arange(len(split)), sizes), keys, Model.pair(before, keys), many
+
+
 class Model:
     """The telling expressions as sorted keys with ratios, and the weights of the score."""
 
@@ -193,24 +208,16 @@ class Model:
         Neutral words add noise that grows with the root of their number, so that texts of all
         lengths compare.
         """
-        split, memo = [words(t) for t in texts], self.memo
-        if len(memo) > memo_words:
-            memo.clear()
-        for w in set().union(*split) - memo.keys():
-            memo[w] = word_key(w)
-        sizes = [len(ws) for ws in split]
-        keys = np.fromiter((memo[w] for ws in split for w in ws), np.uint64, sum(sizes))
-        text = np.repeat(np.arange(len(split)), sizes)
-        before = np.concatenate([np.array([START], np.uint64), keys[:-1]]) if len(keys) else keys
-        before[np.cumsum([0, *sizes[:-1]])[np.array(sizes) > 0] if sizes else []] = START
-        sums = np.zeros(len(split))
-        for found in (keys, self.pair(before, keys)):
+        if len(self.memo) > memo_words:
+            self.memo.clear()
+        text, keys, pairs, many = told(texts, self.memo)
+        sums = np.zeros(len(texts))
+        for found in (keys, pairs):
             if len(self.keys) and len(found):
                 at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
                 hit = np.flatnonzero(self.keys[at] == found)
                 once = np.unique(np.column_stack([text[hit], at[hit]]), axis=0)
                 np.add.at(sums, once[:, 0], self.ratios[once[:, 1]])
-        many = np.array([max(1, len(set(ws))) for ws in split], float)
         return (sums / np.sqrt(many))[:, None]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -218,6 +225,54 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.weight[0] + x @ self.weight[1:], -30, 30)))
 
 
+@dataclass
+class StoredModel:
+    """The telling expressions as a written table (key, r), where tasks can't be sent them all."""
+
+    table: DataFrame
+    weight: np.ndarray
+
+    @classmethod
+    def of(cls, found: DataFrame) -> StoredModel:
+        def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                known, h, w = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:3])
+                keys = np.where(known, Model.pair(h.view(np.uint64), w.view(np.uint64)), w.view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(3)], ["key", "r"])
+
+        given = found.select(F.col("h").isNotNull(), F.coalesce("h", F.lit(0).cast("long")), "w", "r")
+        return cls(write_table(given.mapInArrow(key, "key long, r double"), "telling-keys"), np.array([-1.0, 0.0]))
+
+    def features(self, texts: DataFrame) -> DataFrame:
+        """(mark, x) of the texts (mark, text) that hold a telling expression, as :meth:`Model.features`.
+
+        ``mark`` is a digest of the text, so that copies are one text. Expressions meet the table by
+        a shuffle of 30 bytes each; only those that it holds move on.
+        """
+
+        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            memo: dict[str, int] = {}
+            for batch in rows_of(batches, 64):
+                if len(memo) > 1_000_000:
+                    memo.clear()
+                text, keys, pairs, many = told(batch.column(1).to_pylist(), memo)
+                once = np.unique(np.rec.fromarrays([np.concatenate([text, text]), np.concatenate([keys, pairs])]))
+                of = once["f0"]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(of)), pa.array(many[of]), pa.array(once["f1"].view(np.int64))], ["mark", "many", "key"]
+                )
+
+        hits = texts.mapInArrow(explode, "mark binary, many long, key long").join(self.table, "key")
+        once = hits.groupBy("mark", "many", "key").agg(F.max("r").alias("r"))
+        return once.groupBy("mark").agg((F.sum("r") / F.sqrt(F.max("many"))).alias("x"))
+
+    def add(self, documents: DataFrame, x: str) -> DataFrame:
+        """``documents`` with their feature ``x``; there is no other column named ``mark``."""
+        marked = documents.withColumn("mark", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+        found = self.features(marked.select("mark", "text")).withColumnRenamed("x", x)
+        return marked.join(found, "mark", "left").drop("mark").withColumn(x, F.coalesce(x, F.lit(0.0)))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60) -> np.ndarray:
     """Weights (constant first) by Newton steps on standardised columns."""
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
@@ -232,8 +287,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60)
 
 def fit(
     documents: DataFrame, labels: DataFrame, discount: float = 0.75, chance: float = 10.83, least: int = 3,
-    max_calibration: int = 60_000, max_broadcast: int = 1_000_000,
-) -> Model:
+    max_calibration: int = 60_000, max_broadcast: int = 1_000_000, max_expressions: int = 2_000_000,
+) -> Model | StoredModel:
     """Learn from the documents that ``labels`` (doc_id, toxic) marks; null labels and ids are passed over.
 
     By a hash of their text three quarters of the labelled documents are counted, all of them, and
@@ -241,7 +296,8 @@ def fit(
     ids, that many, chosen by a hash of the id, give the quarter that calibrates. ``chance`` is the
     least likelihood ratio statistic (10.83: one in a thousand) and ``least`` the least number of
     texts or contexts of a telling expression. Up to ``max_broadcast`` labelled ids are sent to
-    the texts; more are joined by a shuffle. Repeated rows are texts of their own; very long texts
+    the texts; more are joined by a shuffle. Up to ``max_expressions`` telling expressions, of 16
+    bytes, are sent to the tasks that score; more stay a table that texts are joined with. Repeated rows are texts of their own; very long texts
     are taken whole.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -255,7 +311,14 @@ def fit(
     labelled = texts.where(quarter != 0).join(known, "doc_id").select("text", "toxic")
     calibrating = texts.where((quarter == 0) & chosen).join(known.where(chosen), "doc_id").select("text", "toxic")
     counts = expressions(pair_counts(labelled), least)
-    model = Model.of(ratios(counts, discount, chance, least))
+    found = write_table(ratios(counts, discount, chance, least), "telling")
+    if found.count() > max_expressions:
+        stored = StoredModel.of(found)
+        held = stored.add(calibrating, "x").select("x", F.col("toxic").cast("double").alias("y")).toPandas()
+        if held["y"].nunique() == 2:
+            stored.weight = logistic(held[["x"]].to_numpy(), held["y"].to_numpy())
+        return stored
+    model = Model.of(found)
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,18 +333,24 @@ def fit(
     return model
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
+def score(documents: DataFrame, model: Model | StoredModel) -> DataFrame:
     """All columns, and ``score`` (0 to 1, higher for toxic) and ``predicted`` (1 if score >= 0.5).
 
     The score is a logistic function of the text's length-normalised log likelihood ratio. A null
     or empty text has ratio 0 and the score of the constant; so has every text if a class was
     never seen. Repeated rows are scored each; a very long text is taken whole, at some 100 bytes a word.
     Former columns of these names are replaced; an empty table gives no rows. Nothing
-    is shuffled.
+    is shuffled, unless the model is stored as a table.
     """
-    sent = documents.sparkSession.sparkContext.broadcast(model)
     names = [c for c in documents.columns if c not in ("score", "predicted")]
     place = names.index("text")
+    if isinstance(model, StoredModel):
+        inner = ["text" if k == place else f"column_{k}" for k in range(len(names))]  # no clash with names used here
+        scored = model.add(documents.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(names, inner)]), "x")
+        sure = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(float(model.weight[0])) + F.col("x") * F.lit(float(model.weight[1]))))
+        chance = 1 / (1 + F.exp(-sure))
+        return scored.select(*[F.col(n).alias(c) for c, n in zip(names, inner)], chance.alias("score"), (chance >= 0.5).cast("int").alias("predicted"))
+    sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
