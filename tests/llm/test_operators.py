@@ -327,6 +327,30 @@ def test_links_over_small_leaves_and_blocks(spark):
         assert [got.get(i, i) for i in ids] == want.tolist()
 
 
+@pytest.mark.parametrize("kind", ["clouds", "ball", "rounds"])
+def test_trees_in_large_leaves(spark, monkeypatch, kind):
+    """Leaves of over 32 rows get trees of their own; what nothing divides goes to blocks."""
+    from tidepanel.llm.graph import components
+
+    ball = np.uint64(2**63 - 7) ^ np.concatenate([[np.uint64(0)], np.uint64(1) << np.arange(64, dtype=np.uint64)])
+    points = ball if kind == "ball" else np.unique(np.concatenate([clouds(8, 60, 5), ball]))
+    ids = np.random.default_rng(9).permutation(len(points)) + 10
+    classes = spark.createDataFrame(pd.DataFrame({"fp": points.view(np.int64), "id": ids}))
+    seen = {"_rerouted": 0, "_blocks": 0}
+    for name in seen:
+        def counted(rows, *rest, own=getattr(simhash, name), name=name):
+            seen[name] += rows.count() if name == "_blocks" else rows.join(rest[0], "leaf").count()
+            return own(rows, *rest)
+
+        monkeypatch.setattr(simhash, name, counted)
+    monkeypatch.setattr(simhash, "PACK", 50)
+    if kind == "rounds":
+        monkeypatch.setattr(simhash, "ROUNDS", 0)
+    got = {r["node"]: r["component"] for r in components(simhash.links(classes, 2, 12, 1)).collect()}
+    assert [got.get(i, i) for i in ids] == brute_components(points, ids).tolist()
+    assert (seen["_rerouted"] > 0) == (kind == "clouds") and seen["_blocks"] > 0
+
+
 def test_components_of_a_long_chain(spark):
     from tidepanel.llm.graph import components
 

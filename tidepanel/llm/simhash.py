@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.llm.graph import components
-from tidepanel.llm.text import NO_ID, id_key, row_hash, rows_of, words
+from tidepanel.llm.text import NO_ID, id_key, mix, row_hash, rows_of, words
 from tidepanel.session import write_table
 
 SEED = 42
@@ -165,8 +165,7 @@ def links(classes: DataFrame, bits: int, max_sample: int, leaf_rows: int) -> Dat
 
     ``classes`` (fp, id) has one row per fingerprint. The vantage points are fitted to a sample
     of at most about ``max_sample`` fingerprints chosen by hash; every fingerprint is routed.
-    A leaf that the sample made too large for a task is dealt in blocks, each pair of blocks
-    to a task of its own.
+    A leaf that is too large for a task gets a tree of its own (:func:`_divided`).
     """
     total = classes.count()
     share = min(1.0, max_sample / max(total, 1))
@@ -181,15 +180,7 @@ def links(classes: DataFrame, bits: int, max_sample: int, leaf_rows: int) -> Dat
                 yield pd.DataFrame({"leaf": np.int32(leaf), "fp": pdf["fp"].to_numpy()[own], "id": pdf["id"].to_numpy()[own]})
 
     routed = write_table(classes.mapInPandas(deal, "leaf int, fp long, id long"), "routed")
-    most = 32 * leaf_rows
-    large = {r["leaf"]: -(-r["n"] // most) for r in routed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > most).collect()}
-    dealt = routed.withColumn("part", F.lit(0))
-    if large:  # at most as many as there are leaves
-        blocks = F.create_map(*[F.lit(x) for kv in large.items() for x in kv])[F.col("leaf")]
-        block = F.pmod(F.xxhash64("id"), F.coalesce(blocks, F.lit(1)).cast("long"))
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(blocks, F.lit(1)).cast("long") - 1))
-        dealt = routed.withColumn("own", block).withColumn("other", other).withColumn(
-            "part", F.least("own", "other") * 1_000_003 + F.greatest("own", "other")).drop("own", "other")
+    dealt = _divided(routed.withColumn("leaf", F.col("leaf").cast("long")), bits, max_sample, leaf_rows)
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -201,6 +192,83 @@ def links(classes: DataFrame, bits: int, max_sample: int, leaf_rows: int) -> Dat
     return dealt.groupBy("leaf", "part").applyInPandas(link, "a long, b long")
 
 
+PACK = 32_768  # fingerprints of a large leaf that are routed at once
+ROUNDS = 16  # of trees in leaves; whatever is still too large goes to blocks
+
+
+def _divided(routed: DataFrame, bits: int, max_sample: int, leaf_rows: int) -> DataFrame:
+    """(leaf, part, fp, id): all leaves, none of more than 32 ``leaf_rows`` rows to a task.
+
+    Each large leaf grows a tree from a sample of its own rows, one task a leaf; its rows are routed
+    in packs, each joined with that tree, and what is still too large goes on to the next round. So
+    the number of leaves grows with the rows, and their size does not. A leaf that no vantage point
+    divides is dealt in blocks, each pair of blocks to a task.
+    """
+    most = 32 * leaf_rows
+    settled, rounds = None, 0
+    while True:
+        sizes = write_table(routed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > most), "large")
+        if sizes.isEmpty():
+            last = routed.withColumn("part", F.lit(0).cast("long"))
+            return last if settled is None else settled.unionByName(last)
+        small = routed.join(sizes, "leaf", "left_anti").withColumn("part", F.lit(0).cast("long"))
+        large = routed.join(sizes, "leaf")
+        trees = _trees(large, bits, max_sample, leaf_rows)
+        divided = F.col("tree").isNotNull() & F.lit(rounds < ROUNDS)
+        blocks = _blocks(large.join(trees.where(~divided).select("leaf"), "leaf", "left_semi"), most)
+        done = small.unionByName(blocks)
+        settled = done if settled is None else settled.unionByName(done)
+        routed = write_table(_rerouted(large, trees.where(divided), bits), "routed")
+        rounds += 1
+
+
+def _trees(large: DataFrame, bits: int, max_sample: int, leaf_rows: int) -> DataFrame:
+    """(leaf, tree) of large leaves (leaf, fp, id, n): vantage points fitted to some ``max_sample`` of a
+    leaf's rows; null where no vantage point divides them."""
+    share = F.least(F.lit(1.0), F.lit(float(max_sample)) / F.col("n"))
+    sample = large.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(1 << 30)) <= share * (1 << 30))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        points = np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64)
+        nodes = grow(points, bits, max(8, int(leaf_rows * len(points) / pdf["n"].iloc[0])))
+        tree = np.array([[v, r, i, o] for v, r, i, o in nodes], object) if nodes else None
+        packed = None if tree is None else np.column_stack(
+            [tree[:, 0].astype(np.uint64).view(np.int64), *[tree[:, k].astype(np.int64) for k in (1, 2, 3)]]).tobytes()
+        return pd.DataFrame({"leaf": pdf["leaf"].iloc[:1], "tree": [packed]})
+
+    fitted = sample.groupBy("leaf").applyInPandas(fit, "leaf long, tree binary")
+    # A leaf so unlucky that the hash takes none of its rows is dealt in blocks.
+    return write_table(large.select("leaf").distinct().join(fitted, "leaf", "left"), "trees")
+
+
+def _rerouted(large: DataFrame, trees: DataFrame, bits: int) -> DataFrame:
+    """(leaf, fp, id) of the rows of large leaves in the leaves of their trees."""
+    pack = F.pmod(F.xxhash64("id", F.lit(11)), F.ceil(F.col("n") / PACK).cast("long"))
+    packs = large.groupBy("leaf", pack.alias("pack")).agg(F.collect_list(F.struct("fp", "id")).alias("rows"))
+    given = packs.join(trees, "leaf").select("leaf", F.col("rows.fp").alias("fp"), F.col("rows.id").alias("id"), "tree")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 1):
+            above = np.array(batch.column(0).to_numpy(), np.int64).view(np.uint64)
+            fp, key = (batch.column(k).flatten().to_numpy() for k in (1, 2))
+            table = np.frombuffer(batch.column(3)[0].as_py(), np.int64).reshape(-1, 4)
+            nodes = [(np.int64(v).astype(np.uint64), r, i, o) for v, r, i, o in table.tolist()]
+            for leaf, own in route(nodes, fp.view(np.uint64), bits):
+                # Two leaves of one number would only be searched together.
+                below = int(mix(above ^ mix(np.array([leaf], np.uint64), 2), 4).view(np.int64)[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), below)), pa.array(fp[own]), pa.array(key[own])], ["leaf", "fp", "id"])
+
+    return given.mapInArrow(deal, "leaf long, fp long, id long")
+
+
+def _blocks(stuck: DataFrame, most: int) -> DataFrame:
+    """(leaf, part, fp, id): the rows of leaves that nothing divides once for each pair of their blocks."""
+    count = F.ceil(F.col("n") / most).cast("long")
+    rows = stuck.withColumn("own", F.pmod(F.xxhash64("id"), count)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
+    part = F.least("own", "other") * 1_000_003 + F.greatest("own", "other")
+    return rows.select("leaf", part.alias("part"), "fp", "id")
+
+
 def near_duplicates(
     documents: DataFrame, shingle: int = 3, bits: int = 2, max_sample: int = 20_000, leaf_rows: int = 8_192
 ) -> DataFrame:
