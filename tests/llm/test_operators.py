@@ -440,6 +440,13 @@ def test_word_scores_do_not_depend_on_the_step():
     np.testing.assert_allclose(found.scores(table, 5), found.scores(table), rtol=1e-5, atol=1e-5)
 
 
+def test_too_many_languages_are_an_error(spark):
+    rows = spark.createDataFrame([(f"some words {k}", f"l{k % 4}") for k in range(12)], "text string, lang string")
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language.fit(rows, max_languages=3)
+    assert language.fit(rows, max_languages=4).languages == ["l0", "l1", "l2", "l3"]
+
+
 def test_mixed_texts_and_scripts(spark, hostile, empty):
     rows = [(f"the cat and the dog went over there again and then some {k}", "en") for k in range(40)]
     rows += [(f"кошка и собака пошли туда снова и потом ещё {k}", "ru") for k in range(40)]

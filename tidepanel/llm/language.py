@@ -134,15 +134,21 @@ class Model:
         return scores
 
 
-def fit(documents: DataFrame, max_docs: int = 5_000) -> Model:
+def fit(documents: DataFrame, max_docs: int = 5_000, max_languages: int = 512) -> Model:
     """Learn from (text, lang); rows without either are passed over.
 
+    More than ``max_languages`` values of ``lang`` are an error, raised before anything is learned: a
+    language takes a megabyte in every task, and so many mean that the column holds something else.
+
     At most about ``max_docs`` documents of each language, chosen by a hash of their text, teach
     the trigrams; the numbers of documents a language are counted over all rows.
     """
     spark = documents.sparkSession
     usable = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    known = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    found = usable.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
+    if len(found) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: is lang a language column?")
+    known = {r["lang"]: r["n"] for r in found}
     languages = sorted(known)
     share = F.lit(0)
     for lang, n in known.items():
