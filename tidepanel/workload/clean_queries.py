@@ -127,17 +127,18 @@ def timestamp_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT doc_id, CAST(try_cast(day AS DATE) AS TIMESTAMP) AS parsed FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'unknown' "
-    "WHEN doc_id % 9 = 0 THEN '2024-13-01' ELSE '2024-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') END AS day "
-    "FROM documents)"
+    "SELECT o_orderkey, CAST(try_cast(day AS DATE) AS TIMESTAMP) AS parsed FROM (SELECT o_orderkey, CASE o_orderstatus "
+    "WHEN 'P' THEN o_orderpriority WHEN 'O' THEN strftime(o_orderdate, '%Y-%d-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day "
+    "FROM orders)"
 )
 def lenient_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("doc_id")
-    day = F.when(d % 7 == 0, "unknown").when(d % 9 == 0, "2024-13-01").otherwise(
-        F.concat(F.lit("2024-01-"), F.lpad((1 + d % 28).cast("string"), 2, "0"))
-    )
-    documents = tb.load(spark, sf_dir, "documents").select("doc_id", day.alias("day"))
-    return documents.select("doc_id", fx.lenient_date("day").cast("timestamp_ntz").alias("parsed"))
+    """Order dates as text: pending orders have their priority there, open ones day and month swapped."""
+    iso = F.col("o_orderdate").cast("date").cast("string")
+    swapped = F.concat(F.substring(iso, 1, 4), F.substring(iso, 8, 3), F.substring(iso, 5, 3))
+    status = F.col("o_orderstatus")
+    day = F.when(status == "P", F.col("o_orderpriority")).when(status == "O", swapped).otherwise(iso)
+    orders = tb.load(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"))
+    return orders.select("o_orderkey", fx.lenient_date("day").cast("timestamp_ntz").alias("parsed"))
 
 
 # --- resampling and filling -----------------------------------------------------------
