@@ -85,6 +85,28 @@ def test_moments_merge_like_one(spark):
         linear.gram(spark.createDataFrame([], "x double, y double, g string"), ["x"], "y", "g")
 
 
+def test_constants_whose_mean_rounds_weigh_nothing(spark):
+    """The sine and cosine of a month are constants over a month of rows; their rounded means differ from
+    them and from level to level, which made the lasso diverge to NaN. A share may vary in its last digit."""
+    rng = np.random.default_rng(4)
+    n = 2208
+    pdf = pd.DataFrame({
+        "x": rng.normal(50, 10, n), "sin": np.sin(2 * np.pi / 12), "cos": np.cos(2 * np.pi / 12), "big": 1e9 / 3, "ulp": 200 / 3 + 2.0**-46 * rng.integers(0, 2, n), "g": rng.choice(list("abcde"), n),
+    })
+    pdf["y"] = 100 * pdf["x"] + (pdf["g"] == "b") * 25 + rng.normal(0, 20, n)
+    pdf["split"] = np.where(pdf.index < 1800, "train", "test")
+    df, names = spark.createDataFrame(pdf).repartition(7).cache(), ["x", "sin", "cos", "big", "ulp"]
+    g = linear.gram(df.where("split = 'train'"), names, "y", "g")
+    for c in names[1:4]:
+        i = names.index(c)
+        assert g.total.mean[i] == pdf[c][0] and not g.total.cross[i].any()
+    fits = modelling.linear_fits(df, "y", "g", {"with": names, "without": ["x"]})
+    scores = modelling.linear_scores(df, fits, "y")
+    for m in linear.LINEAR:
+        assert not linear.solve(g, names, m).standard[1:5].any()
+        np.testing.assert_allclose(scores["with", m], scores["without", m], rtol=1e-9)
+
+
 def test_grid_has_every_pair_once_in_order(rows):
     df, _ = rows
     small = lambda t, s: modelling.estimators(t, s, trees=3, rounds=2, forest_depth=3)

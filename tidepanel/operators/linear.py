@@ -20,35 +20,55 @@ from pyspark.sql import functions as F
 
 ORDINARY, RIDGE, LASSO = "Linear Regression", "Ridge Regression", "Lasso Regression"
 LINEAR = (ORDINARY, RIDGE, LASSO)
+ROUNDING = 8 * np.finfo(float).eps
 
 
 @dataclass
 class Moments:
-    """Rows, means and centred cross-products of some columns; parts merge without subtraction of sums."""
+    """Rows, means and centred cross-products of some columns; parts merge without subtraction of sums.
+
+    A mean is kept as one of the rows and what has to be added to it. So a column of one value has
+    that mean to the last digit and cross-products of 0, and small differences of large means
+    keep their digits. Rounded means would leave a constant a spread and levels apart from it.
+    """
 
     n: float
-    mean: np.ndarray
+    shift: np.ndarray
+    rest: np.ndarray
     cross: np.ndarray | None
 
     @staticmethod
     def of(x: np.ndarray, with_cross: bool = True) -> Moments:
-        mean = x.mean(axis=0)
-        c = x - mean
-        return Moments(float(len(x)), mean, c.T @ c if with_cross else None)
+        shift = x[0].copy()
+        x = x - shift
+        rest = x.mean(axis=0)
+        c = x - rest
+        return Moments(float(len(x)), shift, rest, c.T @ c if with_cross else None)
+
+    @property
+    def mean(self) -> np.ndarray:
+        return self.shift + self.rest
+
+    def gap(self, other: Moments) -> np.ndarray:
+        """The other's means less these."""
+        return (other.shift - self.shift) + (other.rest - self.rest)
 
     def merged(self, other: Moments) -> Moments:
         n = self.n + other.n
-        gap = other.mean - self.mean
+        gap = self.gap(other)
         cross = None if self.cross is None else self.cross + other.cross + np.outer(gap, gap) * (self.n * other.n / n)
-        return Moments(n, self.mean + gap * (other.n / n), cross)
+        return Moments(n, self.shift, self.rest + gap * (other.n / n), cross)
 
 
-_PART = "level string, whole boolean, n double, mean array<double>, cross array<double>"
+_PART = "level string, whole boolean, n double, shift array<double>, rest array<double>, cross array<double>"
 
 
 def _emit(parts: Mapping[tuple[str | None, bool], Moments]) -> pa.RecordBatch:
-    rows = [(level, whole, m.n, m.mean.tolist(), None if m.cross is None else m.cross.ravel().tolist()) for (level, whole), m in parts.items()]
-    types = [pa.string(), pa.bool_(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+    rows = [
+        (level, whole, m.n, m.shift.tolist(), m.rest.tolist(), None if m.cross is None else m.cross.ravel().tolist())
+        for (level, whole), m in parts.items()
+    ]
+    types = [pa.string(), pa.bool_(), pa.float64(), *[pa.list_(pa.float64())] * 3]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [c.split()[0] for c in _PART.split(", ")])
 
 
@@ -72,9 +92,8 @@ def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: dict = {}
     for batch in batches:
-        for level, whole, n, mean, cross in zip(*[c.to_pylist() for c in batch.columns]):
-            mean = np.array(mean)
-            own = Moments(n, mean, None if cross is None else np.array(cross).reshape(len(mean), len(mean)))
+        for level, whole, n, shift, rest, cross in zip(*[c.to_pylist() for c in batch.columns]):
+            own = Moments(n, np.array(shift), np.array(rest), None if cross is None else np.array(cross).reshape(len(rest), -1))
             parts[level, whole] = parts[level, whole].merged(own) if (level, whole) in parts else own
     if parts:
         yield _emit(parts)
@@ -102,7 +121,8 @@ def gram(train: DataFrame, numeric: Sequence[str], target: str, category: str) -
     merged = numbers.mapInArrow(_reduce, _PART).repartition("whole", "level").mapInArrow(_merge, _PART).collect()
     total, levels = None, {}
     for r in merged:
-        own = Moments(r["n"], np.array(r["mean"]), None if r["cross"] is None else np.array(r["cross"]).reshape(len(names), -1))
+        cross = None if r["cross"] is None else np.array(r["cross"]).reshape(len(names), -1)
+        own = Moments(r["n"], np.array(r["shift"]), np.array(r["rest"]), cross)
         if r["whole"]:
             total = own
         else:
@@ -155,15 +175,16 @@ def solve(g: Gram, numeric: Sequence[str], model: str, penalty: float = 1.0) ->
     """Ordinary least squares, ridge (``penalty`` on the sum of squares) or lasso (on half the mean square).
 
     Numbers are standardised by their population deviation, levels are 0 or 1 without the first one;
-    the intercept is not penalised. A constant column has weight 0. Columns that depend on each
-    other share the weight of least size.
+    the intercept is not penalised. A constant column has weight 0, as has one whose deviation is only
+    rounding of its mean. Columns that depend on each other share the weight of least size.
     """
     at, y, n = [g.names.index(c) for c in numeric], len(g.names) - 1, g.total.n
     deviation = np.sqrt(np.diag(g.total.cross)[at] / n)
-    scale = np.where(deviation > 0, deviation, 1.0)
+    varies = deviation > ROUNDING * np.abs(g.total.mean[at])
+    scale = np.where(varies, deviation, np.inf)  # the products of a constant become 0
     own = list(g.levels.items())[1:]
     sizes = np.array([m.n for _, m in own])
-    gaps = np.array([m.mean - g.total.mean for _, m in own]).reshape(len(own), len(g.names))
+    gaps = np.array([g.total.gap(m) for _, m in own]).reshape(len(own), len(g.names))
     corner = sizes[:, None] * gaps[:, at] / scale
     a = np.block([
         [g.total.cross[np.ix_(at, at)] / np.outer(scale, scale), corner.T],
@@ -177,6 +198,7 @@ def solve(g: Gram, numeric: Sequence[str], model: str, penalty: float = 1.0) ->
     else:
         found = np.linalg.lstsq(a, b, rcond=1e-13)[0]
     k = len(at)
+    found[:k][~varies] = 0.0
     weights = {c: (float(w / s), float(g.total.mean[i])) for c, w, s, i in zip(numeric, found, scale, at)}
     levels = {v: float(w) for (v, _), w in zip(own, found[k:])}
     intercept = g.total.mean[y] - float(found[k:] @ (sizes / n)) if own else g.total.mean[y]
