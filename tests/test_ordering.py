@@ -158,6 +158,34 @@ def test_spearman_is_pearson_of_ranks_on_common_rows(spark):
     assert found["n"] == len(both) and found["rho"] == pytest.approx(both.corr().iloc[0, 1])
 
 
+def test_spearman_ranks_shared_columns_once(spark, monkeypatch):
+    """Pairs with shared columns, gaps, common values, a constant and a pair without rows; one ladder with a
+    side per column, or per pair where a gap leaves rows out, and no distinct pairs of values."""
+    rng = np.random.default_rng(8)
+    n = 6000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "q": rng.integers(0, 5, n).astype(float), "one": 7.0, "none": np.nan})
+    pdf["b"] = np.where(rng.random(n) < 0.4, 0.0, pdf["a"] + rng.normal(size=n))
+    pdf["c"] = np.where(pdf.index % 7 == 0, np.nan, pdf["b"] + rng.normal(size=n))
+    pairs = [("a", "b"), ("q", "b"), ("b", "a"), ("c", "b"), ("a", "c"), ("one", "a"), ("a", "none")]
+    ladder, counted = correlation.value_ladder, []
+
+    def counting(df, keys, value, weight=None):
+        out = ladder(df, keys, value, weight)
+        counted.append(out.select("side").distinct().count())
+        return out
+
+    monkeypatch.setattr(correlation, "value_ladder", counting)
+    monkeypatch.setattr(correlation, "pair_cells", None)
+    found = {r["pair"]: r for r in correlation.spearman(spark.createDataFrame(pdf), pairs).collect()}
+    assert counted == [7]  # a, b, q, c and one whole, b where c is, a where c is
+    assert len(found) == len(pairs) - 1
+    for x, y in pairs[:-2]:
+        both = pdf[[x, y]].dropna().rank()
+        r = found[f"{x} vs {y}"]
+        assert r["n"] == len(both) and r["rho"] == pytest.approx(both.corr().iloc[0, 1], abs=1e-12)
+    assert found["one vs a"]["n"] == n and found["one vs a"]["rho"] is None
+
+
 def test_samples_are_exact_and_repeatable(skewed):
     df, pdf = skewed
     a = {r["id"] for r in ordering.hash_sample(df, ["id"], 100).collect()}

@@ -6,6 +6,7 @@ A constant variable gives a null coefficient (SQL ``corr`` would raise).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -310,10 +311,73 @@ def pair_ladders(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     return side("x"), side("y")
 
 
+COMMON = 1000  # a value in more than one of so many rows is common; there are fewer such values
+
+
 def spearman(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
-    """Spearman's rho with t on n - 2: Pearson's r of average ranks."""
-    cells = pair_cells(df, pairs)
-    return spearman_of(cells, *pair_ladders(cells))
+    """Spearman's rho with t on n - 2: Pearson's r of average ranks.
+
+    A column is ranked once for all pairs whose other column is there wherever it is. The side
+    with fewer values gives its ranks to the rows; summed by value of the other side they meet
+    that side's ranks, so rows are joined once a pair and cells are never formed. Ranks are
+    centred, which sums of their products need to keep their digits.
+    """
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    numbers = write_table(_numbers(df, pairs).select(*[f"_{c}" for c in names]), "numbers")
+    both = [F.count(F.when(F.col(f"_{x}").isNotNull(), F.col(f"_{y}"))).alias(f"p{k}") for k, (x, y) in enumerate(pairs)]
+    known = numbers.agg(*[F.count(f"_{c}").alias(f"_{c}") for c in names], *both).first()
+    # Sides by number: the column, and the column that has to be there as well if that leaves rows out.
+    sides: dict[tuple[str, str | None], int] = {}
+    ends = []
+    for k, (x, y) in enumerate(pairs):
+        keys = [(c, None if known[f"p{k}"] == known[f"_{c}"] else other) for c, other in ((x, y), (y, x))]
+        ends.append([sides.setdefault(key, len(sides)) for key in keys])
+    values = [F.col(f"_{c}") if other is None else F.when(F.col(f"_{other}").isNotNull(), F.col(f"_{c}")) for c, other in sides]
+    long = numbers.select(F.inline(F.array(*[F.struct(F.lit(i).alias("side"), v.alias("v")) for i, v in enumerate(values)])))
+    ladder = value_ladder(long, ["side"], "v")
+    ranks = write_table(ladder.select("side", "v", "n_at", "total", (average_rank() - (F.col("total") + 1) / 2.0).alias("rank")), "ranks")
+    n_at, rank = F.col("n_at"), F.col("rank")
+    sizes = {r["side"]: r for r in ranks.groupBy("side").agg(  # a row per side
+        F.count("*").alias("values"), F.first("total").alias("n"), F.sum(n_at * rank * rank).alias("squares")).collect()}
+    ends = [sorted(e, key=lambda i: sizes[i]["values"] if i in sizes else 0) for e in ends]
+    wide = numbers.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    for i in sorted({few for few, _ in ends}):
+        wide = _with_rank(wide, ranks.where((F.col("side") == i)), i, sizes[i]["values"] if i in sizes else 0)
+    cells = [
+        F.struct(F.lit(k).alias("k"), F.lit(many).alias("side"), F.col(f"v{many}").alias("v"), F.col(f"r{few}").alias("a"))
+        for k, (few, many) in enumerate(ends)
+    ]
+    met = wide.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull() & F.col("a").isNotNull())
+    sums = met.groupBy("k", "side", "v").agg(F.sum("a").alias("a"))
+    products = sums.join(ranks.select("side", "v", "rank"), ["side", "v"]).groupBy("k").agg(F.sum(F.col("a") * rank).alias("top"))
+    rows = [
+        (k, pair_name(*pairs[k]), sizes[e[0]]["n"], math.sqrt(sizes[e[0]]["squares"]) * math.sqrt(sizes[e[1]]["squares"]))
+        for k, e in enumerate(ends) if e[0] in sizes
+    ]
+    named = df.sparkSession.createDataFrame(rows, "k int, pair string, n long, rest double")
+    rho = _bounded(F.try_divide("top", "rest"))
+    return _with_t(F.broadcast(named).join(products, "k").select("pair", "n", rho.alias("rho")))
+
+
+def _with_rank(wide: DataFrame, ranks: DataFrame, i: int, size: int) -> DataFrame:
+    """Adds the rank ``r{i}`` of the value ``v{i}``; rows without the value keep a null.
+
+    Common values are sent to the rows, so that no task gets all rows of one; the rest are
+    joined. A side of few values is sent whole.
+    """
+    v, r = f"v{i}", f"r{i}"
+    own = ranks.select(F.col("v").alias(v), F.col("rank").alias(r), "n_at", "total")
+    if size <= COMMON:
+        return wide.join(F.broadcast(own.select(v, r)), v, "left")
+    common = own.where(F.col("n_at") * COMMON > F.col("total")).select(v, r)
+    marked = wide.join(F.broadcast(common), v, "left")
+    rest = marked.where(F.col(v).isNotNull() & F.col(r).isNull()).drop(r)
+    return marked.where(F.col(v).isNull() | F.col(r).isNotNull()).unionByName(rest.join(own.select(v, r), v))
+
+
+def _with_t(found: DataFrame) -> DataFrame:
+    t = F.col("rho") * F.sqrt(F.try_divide(F.col("n") - 2, F.nullif(1 - F.col("rho") ** 2, F.lit(0.0))))
+    return found.withColumn("t", t)
 
 
 def spearman_of(cells: DataFrame, xs: DataFrame, ys: DataFrame) -> DataFrame:
@@ -326,9 +390,7 @@ def spearman_of(cells: DataFrame, xs: DataFrame, ys: DataFrame) -> DataFrame:
     n = F.col("n")
     top = F.col("sab") - F.col("sa") * F.col("sb") / n
     rest = F.sqrt(F.col("saa") - F.col("sa") ** 2 / n) * F.sqrt(F.col("sbb") - F.col("sb") ** 2 / n)
-    rho = F.try_divide(top, rest)
-    t = F.col("rho") * F.sqrt(F.try_divide(n - 2, F.nullif(1 - F.col("rho") ** 2, F.lit(0.0))))
-    return sums.select("pair", "n", rho.alias("rho")).withColumn("t", t)
+    return _with_t(sums.select("pair", "n", F.try_divide(top, rest).alias("rho")))
 
 
 def kendall(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
