@@ -30,3 +30,19 @@ def test_cased_files_are_not_split():
 
 def test_hadoop_schemes_are_translated():
     assert [tokenfile.uri_of(p) for p in ("s3a://b/x", "file:///tmp/s3a://x", "hdfs://h/x")] == ["s3://b/x", "file:///tmp/s3a://x", "hdfs://h/x"]
+
+
+def test_texts_of_known_words_are_not_searched_for_new_ones(monkeypatch):
+    """Only from the first text with a new word on are a batch's words looked for; a full memo changes no id."""
+    path = queries.tokenizer_path()
+    own, whole, met = TokenIds(path), Tokenizer.from_file(path), []
+    meet = own._meet
+    monkeypatch.setattr(own, "_meet", lambda split: (met.append(len(split)), meet(split)))
+    own.raw(["one two", "two three"])
+    own.raw(["three one", "", None, "two two"])
+    own.raw(["one", "four", "five"])
+    assert met == [2, 2]
+    own.memo_words = 3
+    texts = ["six one", "two seven", "one eight nine"]
+    for text, raw in zip(texts, own.raw(texts)):
+        assert np.frombuffer(raw, own.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids

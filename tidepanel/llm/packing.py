@@ -36,12 +36,11 @@ def pieces(documents: DataFrame, tokenizer: str, end_id: int, largest: int, with
         for batch in rows_of(batches):
             out: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.with_end(batch.column(1).to_pylist(), end_id)):
-                start = 0
+                start, wide = 0, memoryview(ids.astype("<u4").tobytes())
                 for n in binary_lengths(len(ids), largest):
-                    part = ids[start : start + n]
                     slot = used[n] = used.get(n, -1) + 1
-                    row = (doc, start, n, crc(part.astype("<u4").tobytes()), len(ids), task, slot)
-                    out.append(row + (part.astype("<i4"),) if with_ids else row)
+                    row = (doc, start, n, crc(wide[4 * start : 4 * (start + n)]), len(ids), task, slot)
+                    out.append(row + (ids[start : start + n].astype("<i4"),) if with_ids else row)
                     start += n
             if out:
                 columns = list(zip(*out))

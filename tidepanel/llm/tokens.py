@@ -59,6 +59,18 @@ class TokenIds:
             data = (text or "").encode()
             # Case does not matter to the vocabulary, except in the names of special tokens.
             split.append((data if b"<|" in data else data.lower()).split())
+        out, known = [], self.memo.__getitem__
+        for k, ws in enumerate(split):
+            try:
+                out.append(b"".join(map(known, ws)))
+            except KeyError:
+                # Words are looked for one by one only in batches that hold a new one.
+                self._meet(split[k:])
+                out.append(b"".join(map(known, ws)))
+        return out
+
+    def _meet(self, split: list[list[bytes]]) -> None:
+        """After this the memo has all words of these texts."""
         memo = self.memo
         new = list({w for ws in split for w in ws if w not in memo})
         if len(memo) + len(new) > self.memo_words:
@@ -67,7 +79,6 @@ class TokenIds:
         step = 200_000
         for at in range(0, len(new), step):
             self._learn(new[at : at + step])
-        return [b"".join([memo[w] for w in ws]) for ws in split]
 
     def _learn(self, new: list[bytes]) -> None:
         strings = [w.decode() for w in new]
