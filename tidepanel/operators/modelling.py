@@ -163,7 +163,8 @@ def score(result: Fit, target: str, model: str, feature_set: str) -> DataFrame:
 
 
 PART_BYTES = 4_000_000  # training numbers per partition: a tree fit reads them some hundred times
-_FEATURES = "features"
+MERGED_ROWS = 10_000  # up to so many rows MLlib reads them all, not a sample, for the thresholds of trees
+_FEATURES, _WEIGHT = "features", "_weight"
 
 
 def _picks() -> list[Column]:
@@ -200,6 +201,27 @@ def linear_scores(split: DataFrame, fits: Mapping[tuple[str, str], Fit], target:
     return {keys[r["fit"]]: list(r)[1:] for r in rows}
 
 
+def equal_rows(train: DataFrame, columns: Sequence[str], n: int) -> DataFrame | None:
+    """The distinct rows of ``columns`` with their number in ``train``, its weight; None if they are
+    more than ``MERGED_ROWS`` or half of the ``n`` rows, as with measured inputs."""
+    most = min(MERGED_ROWS, n // 2)
+    # An estimate first, without a shuffle: most inputs are distinct in nearly every row.
+    if train.agg(F.approx_count_distinct(F.struct(*columns))).first()[0] > 1.2 * most:
+        return None
+    found = write_table(train.groupBy(*columns).agg(F.count("*").cast("double").alias(_WEIGHT)), "equal-rows")
+    return found if found.count() <= most else None
+
+
+def _takes_weights(estimator: Estimator) -> bool:
+    """True if ``k`` equal rows are the same to the estimator as one of weight ``k``: not where it draws
+    rows (a forest draws each on its own), holds some back or has weights already."""
+    draws = estimator.hasParam("bootstrap") and estimator.getOrDefault("bootstrap")
+    part = estimator.hasParam("subsamplingRate") and estimator.getOrDefault("subsamplingRate") < 1
+    marked = any(estimator.hasParam(p) and estimator.isDefined(p) for p in ("weightCol", "validationIndicatorCol"))
+    fewest = estimator.getOrDefault("minInstancesPerNode") > 1  # counted in rows, not in weight
+    return not (draws or part or marked or fewest)
+
+
 def tree_fits(
     split: DataFrame, n: int, target: str, category: str, feature_sets: Mapping[str, Sequence[str]],
     models: Mapping[str, Estimator], threads: int = 8,
@@ -208,7 +230,9 @@ def tree_fits(
     fits run in ``threads`` at a time, each as jobs of its own, which the scheduler may share out.
 
     The written rows come in as many partitions as their numbers need, since a fit reads
-    them once per level and tree round.
+    them once per level and tree round. Where inputs and target have few different values together,
+    a single tree and boosting are fitted on the distinct rows, weighted by their number; a forest
+    draws from the rows themselves.
     """
     train = split.where(F.col("split") == "train")
 
@@ -219,13 +243,18 @@ def tree_fits(
         helpers = ["_numbers", "_scaled", "_standard", "_level", "_hot", "_category"]
         parts = max(1, -(-n * (len(numeric) + 1) * 8 // PART_BYTES))
         rows = write_table(stages.transform(split).drop(*helpers).coalesce(parts), "inputs")
-        return set_name, (stages, rows, parts, time.perf_counter() - start)
+        few = equal_rows(train, list(dict.fromkeys([*numeric, category, target])), n)
+        few = None if few is None else stages.transform(few).select(_FEATURES, target, _WEIGHT).coalesce(1)
+        return set_name, (stages, rows, few, parts, time.perf_counter() - start)
 
     def run(job):
         (set_name, model_name), estimator = job
-        stages, rows, parts, before = prepared[set_name]
+        stages, rows, few, parts, before = prepared[set_name]
         start = time.perf_counter()
-        model = estimator.fit(rows.where(F.col("split") == "train").coalesce(parts))
+        if few is not None and _takes_weights(estimator):
+            model = estimator.copy().setWeightCol(_WEIGHT).fit(few)
+        else:
+            model = estimator.fit(rows.where(F.col("split") == "train").coalesce(parts))
         seconds = time.perf_counter() - start + before
         predicted = model.transform(rows)
         found = metrics(predicted, target, keys=["split"]).agg(*_picks()).first()
